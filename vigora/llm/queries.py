@@ -5,14 +5,51 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vigora.llm import tokens
-from vigora.sources.tables import table
+from vigora.llm import neardup, splitting, tokens
+from vigora.sources.tables import cut_lineage, table
+
+#: Similarity, words of a sequence and least words of problem 3.
+ALIKE = {"threshold": 0.6, "width": 3, "min_words": 60}
+
+
+def buckets(docs: DataFrame) -> int:
+    """Buckets of band keys: some 60,000 rows of input each, read from the files' footers."""
+    return max(24, docs.count() // 60_000)
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "chunk").select("id", "texto")
+    return neardup.similar_pairs(docs, "id", "texto", **ALIKE, buckets=buckets(docs))
+
+
+def p3_groups(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "chunk").select("id", "texto")
+    links = cut_lineage(neardup.similar_classes(docs, "id", "texto", **ALIKE, buckets=buckets(docs)))
+    members = neardup.membership(docs, "id", "texto", ALIKE["width"], ALIKE["min_words"])
+    grouped = neardup.groups(members, links, "id")
+    n = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
+    return grouped.join(n, "class", "left").select("id", "class", "group_id", F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.oversized(table(spark, d, "chunk").select("id", "texto").distinct(), "id", "texto")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return splitting.oversized(table(spark, d, "chunk"), "id", "texto").select("id").distinct()
 
 
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_texts(table(spark, d, "documents").select("doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p7_ids,)}
-ORACLE: dict[str, str] = {}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p4_found, p4_pieces, p7_ids)}
+
+ORACLE: dict[str, str] = {
+    "p4_found": r"""
+        SELECT DISTINCT id FROM chunk
+        WHERE length(regexp_replace(regexp_replace(texto, '[ \t\n\r\x{00a0}]+', ' ', 'g'), '^ | $', '', 'g')) > 2400
+    """,
+}
