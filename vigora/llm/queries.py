@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigora.llm import neardup, splitting, stuffing, tokens
+from vigora.llm import mixing, neardup, splitting, stuffing, tokens
 from vigora.sources.tables import cut_lineage, table
 
 #: Similarity, words of a sequence and least words of problem 3.
@@ -45,6 +45,14 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return tokens.encode_texts(table(spark, d, "documents").select("doc_id", "text"))
 
 
+def p8_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "source_target"))
+
+
+def p8_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.report(p8_mix(spark, d), table(spark, d, "source_target"))
+
+
 def p9_scores(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select("doc_id", "text")
     return stuffing.spam_pages(docs, buckets(docs))
@@ -54,7 +62,7 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_scores(spark, d).where("spam").select("doc_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p4_found, p4_pieces, p7_ids, p9_found, p9_scores)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p4_found, p4_pieces, p7_ids, p8_mix, p8_shares, p9_found, p9_scores)}
 
 ORACLE: dict[str, str] = {
     "p4_found": r"""

@@ -80,6 +80,11 @@ def decode(ids: np.ndarray, enc) -> bytes:  # noqa: ANN001
     return enc.decode_bytes([int(i) for i in ids])
 
 
+def with_field(df: DataFrame, field: str) -> str:
+    """Schema string of ``df`` with one more field."""
+    return ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema), field])
+
+
 def _encode(path: str, text: str, count_only: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = piece_ids(path)
@@ -101,12 +106,12 @@ def _encode(path: str, text: str, count_only: bool) -> Callable[[Iterator[pa.Rec
 
 def encode_texts(docs: DataFrame, text: str = "text", vocabulary: str = f"{VOCABULARIES}/{VOCABULARY}") -> DataFrame:
     """The other columns of ``docs`` with ``ids``, the token ids of ``text``; a narrow map without a shuffle."""
-    return docs.mapInArrow(_encode(vocabulary, text, False), docs.drop(text).schema.add("ids", "array<int>"))
+    return docs.mapInArrow(_encode(vocabulary, text, False), with_field(docs.drop(text), "ids array<int>"))
 
 
 def count_tokens(docs: DataFrame, text: str = "text", vocabulary: str = f"{VOCABULARIES}/{VOCABULARY}") -> DataFrame:
     """The other columns of ``docs`` with ``n_tokens`` of ``text``; ids never leave the worker."""
-    return docs.mapInArrow(_encode(vocabulary, text, True), docs.drop(text).schema.add("n_tokens", "bigint"))
+    return docs.mapInArrow(_encode(vocabulary, text, True), with_field(docs.drop(text), "n_tokens bigint"))
 
 
 def decode_ids(encoded: DataFrame, ids: str = "ids", vocabulary: str = f"{VOCABULARIES}/{VOCABULARY}") -> DataFrame:
@@ -119,4 +124,4 @@ def decode_ids(encoded: DataFrame, ids: str = "ids", vocabulary: str = f"{VOCABU
             rest = batch.drop_columns([ids])
             yield pa.RecordBatch.from_arrays([*rest.columns, made], names=[*rest.schema.names, "bytes"])
 
-    return encoded.mapInArrow(run, encoded.drop(ids).schema.add("bytes", "binary"))
+    return encoded.mapInArrow(run, with_field(encoded.drop(ids), "bytes binary"))
