@@ -40,6 +40,11 @@ BINS, ROWS = 672, 6
 #: Odd multipliers of a 64-bit mixing function.
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BLOCK = 256
+#: Most classes (8 bytes each) that are sent to every executor to pick out their texts.
+BROADCAST_ROWS = 1_000_000
+#: Coordinates whose lowest byte is kept for a first look at a candidate pair, and how many must agree: a pair
+#: of similarity 0.6 falls below with a probability under one in a million, an unrelated one nearly always.
+MINI, MINI_AGREE = 64, 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -78,33 +83,39 @@ def shingles(text: str, width: int, min_words: int) -> np.ndarray | None:
 
 
 def sketch(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
-    """Fast similarity sketches, one row of ``bins`` 64-bit values per set of hashes."""
+    """Fast similarity sketches, one row of ``bins`` 64-bit values per set of hashes.
+
+    A hash of 64 bits places its shingle in three rounds, by 21 bits each.
+    """
     n = len(sets)
     sizes = np.fromiter(map(len, sets), np.int64, n)
     values = np.concatenate(sets)
-    owner = np.repeat(np.arange(n, dtype=np.int64) * bins, sizes)
+    owner = np.repeat(np.arange(n, dtype=np.int32) * np.int32(bins), sizes)
     out = np.full(n * bins, np.iinfo(np.uint64).max, np.uint64)
     open_bins = np.ones(n * bins, bool)
     left = np.full(n, bins, np.int64)
-    for i in range(2 * bins):
-        h = mix(values ^ mix(np.full(1, i + 1, np.uint64) * M1))
-        if i < bins:
-            place = owner + ((h >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
-        else:
-            place = owner + (i - bins)
+
+    def drop(place: np.ndarray, h: np.ndarray) -> None:
         fits = open_bins[place]
-        place, h = place[fits], mix(h[fits] + M1)
-        np.minimum.at(out, place, h)
-        hit = np.unique(place)
+        place = place[fits]
+        np.minimum.at(out, place, mix(h[fits] + M1))
+        hit = np.flatnonzero(np.bincount(place, minlength=n * bins)) if len(place) > n * bins // 8 else np.unique(place)
         open_bins[hit] = False
-        left -= np.bincount(hit // bins, minlength=n)
-        if i % 4 == 3:
-            live = left > 0
-            if not live.any():
-                break
-            keep = live[owner // bins]
-            if keep.mean() < 0.7:
-                values, owner = values[keep], owner[keep]
+        np.subtract(left, np.bincount(hit // bins, minlength=n), out=left)
+
+    for i in range(0, bins, 3):
+        h = mix(values ^ mix(np.full(1, i + 1, np.uint64) * M1))
+        for k, shift in enumerate((np.uint64(43), np.uint64(22), np.uint64(1))):
+            part = ((h >> shift) & np.uint64(0x1FFFFF)).astype(np.uint32)
+            drop(owner + (part * np.uint64(bins) >> np.uint64(21)).astype(np.int32), h + np.uint64(k))
+        live = left > 0
+        if not live.any():
+            return out.reshape(n, bins)
+        keep = live[owner // bins]
+        if keep.mean() < 0.7:
+            values, owner = values[keep], owner[keep]
+    for b in range(bins):  # every shingle of a text falls into bin b: what is still open fills
+        drop(owner + np.int32(b), mix(values ^ mix(np.full(1, bins + b + 1, np.uint64) * M1)))
     return out.reshape(n, bins)
 
 
@@ -127,7 +138,9 @@ def _banded(width: int, min_words: int, bins: int, rows: int, buckets: int) -> C
     """
 
     def pack(classes: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        keys = np.concatenate([band_keys(sketch(sets[i : i + 128], bins), rows) for i in range(0, len(sets), 128)])
+        parts = [sketch(sets[i : i + 64], bins) for i in range(0, len(sets), 64)]
+        keys = np.concatenate([band_keys(p, rows) for p in parts])
+        mini = np.concatenate([p[:, :MINI].astype(np.uint8) for p in parts])
         bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32).ravel()
         order = np.argsort(bucket, kind="stable")
         doc = np.repeat(np.arange(len(sets), dtype=np.int32), keys.shape[1])[order]
@@ -137,13 +150,13 @@ def _banded(width: int, min_words: int, bins: int, rows: int, buckets: int) -> C
         out_b, out_p = [], []
         for b in range(buckets):
             part = slice(edges[b], edges[b + 1])
-            if edges[b] == edges[b + 1]:
-                continue
             used, at = np.unique(doc[part], return_inverse=True)
-            head = np.array([len(at), len(used)], np.int32).tobytes()
+            home = np.flatnonzero(np.abs(ids) % buckets == b)  # the bucket through which a class's own row travels
+            head = np.array([len(at), len(used), len(home)], np.int32).tobytes()
             index = at.astype(np.uint16 if len(used) < 65_536 else np.uint32)
             out_b.append(b)
-            out_p.append(head + low[part].tobytes() + ids[used].tobytes() + sizes[used].tobytes() + index.tobytes())
+            own = ids[home].tobytes() + mini[home].tobytes()
+            out_p.append(head + low[part].tobytes() + ids[used].tobytes() + sizes[used].tobytes() + index.tobytes() + own)
         yield pa.RecordBatch.from_arrays([pa.array(out_b, pa.int32()), pa.array(out_p, pa.binary())], names=["bucket", "payload"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -169,28 +182,35 @@ def _banded(width: int, min_words: int, bins: int, rows: int, buckets: int) -> C
     return run
 
 
-def _unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    n, m = np.frombuffer(payload, np.int32, 2)
-    at = 8
+def _unpack(payload: bytes) -> tuple[tuple[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]:
+    n, m, h = (int(x) for x in np.frombuffer(payload, np.int32, 3))
+    at = 12
     keys = np.frombuffer(payload, np.uint32, n, at)
     at += 4 * n
     ids = np.frombuffer(payload, np.int64, m, at)
     at += 8 * m
     sizes = np.frombuffer(payload, np.int32, m, at)
     at += 4 * m
-    index = np.frombuffer(payload, np.uint16 if m < 65_536 else np.uint32, n, at)
-    return keys, ids[index], sizes[index]
+    kind = np.dtype(np.uint16 if m < 65_536 else np.uint32)
+    index = np.frombuffer(payload, kind, n, at)
+    at += kind.itemsize * n
+    own = np.frombuffer(payload, np.int64, h, at), np.frombuffer(payload, np.uint8, h * MINI, at + 8 * h).reshape(h, MINI)
+    return (keys, ids[index], sizes[index]), own
 
 
-BLOCKS = "left array<bigint>, left_sizes array<int>, right array<bigint>, right_sizes array<int>"
+BLOCKS = "left array<bigint>, left_sizes array<int>, right array<bigint>, right_sizes array<int>, class bigint, mini binary"
 
 
 def _collide(threshold: float) -> Callable[[pa.Table], pa.Table]:
-    """Groups of classes of one bucket with the same key, as pairs of blocks of bounded size."""
+    """Groups of classes of one bucket with the same key, as pairs of blocks of bounded size; and the classes' own rows."""
 
     def run(table: pa.Table) -> pa.Table:
         parts = [_unpack(p) for p in table.column("payload").to_pylist()]
-        keys, ids, sizes = (np.concatenate(x) for x in zip(*parts, strict=True))
+        keys, ids, sizes = (np.concatenate(x) for x in zip(*(p for p, _ in parts), strict=True))
+        homes, at = np.unique(np.concatenate([h for _, (h, _) in parts]), return_index=True)
+        minis = np.concatenate([m for _, (_, m) in parts])[at]
+        if not len(keys):
+            keys, ids, sizes = np.zeros(1, np.uint32), np.zeros(1, np.int64), np.zeros(1, np.int32)
         order = np.lexsort((ids, sizes, keys))
         keys, ids, sizes = keys[order], ids[order], sizes[order]
         first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
@@ -207,21 +227,47 @@ def _collide(threshold: float) -> Callable[[pa.Table], pa.Table]:
                         break
                     if len(group) > 1:
                         out.append((group[i : i + BLOCK], size[i : i + BLOCK], group[j : j + BLOCK], size[j : j + BLOCK]))
-        made = [pa.array([x[k] for x in out], pa.list_(t)) for k, t in enumerate((pa.int64(), pa.int32(), pa.int64(), pa.int32()))]
-        return pa.Table.from_arrays(made, names=["left", "left_sizes", "right", "right_sizes"])
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int32())
+        made = [pa.array([x[k] for x in out] + [None] * len(homes), pa.list_(t)) for k, t in enumerate(kinds)]
+        made.append(pa.concat_arrays([pa.nulls(len(out), pa.int64()), pa.array(homes, pa.int64())]))
+        made.append(pa.array([None] * len(out) + [m.tobytes() for m in minis], pa.binary()))
+        return pa.Table.from_arrays(made, names=["left", "left_sizes", "right", "right_sizes", "class", "mini"])
 
     return run
 
 
+def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Keep the pairs whose short sketches agree well enough to be worth an exact look."""
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, MINI) for c in ("ma", "mb"))
+        yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= MINI_AGREE))
+
+
 def candidates(classes: DataFrame, width: int, min_words: int, threshold: float, buckets: int, bins: int = BINS, rows: int = ROWS) -> DataFrame:
-    """Distinct pairs ``(a, b)``, a < b, of classes that share a band and whose sizes allow the threshold."""
+    """Distinct pairs ``(a, b)``, a < b, of classes that share a band, whose sizes and short sketches allow the threshold."""
     packed = classes.mapInArrow(_banded(width, min_words, bins, rows, buckets), "bucket int, payload binary")
-    blocks = packed.groupBy("bucket").applyInArrow(_collide(threshold), BLOCKS)
+    found = cut_lineage(packed.groupBy("bucket").applyInArrow(_collide(threshold), BLOCKS))
+    blocks = found.where(F.col("left").isNotNull()).select("left", "left_sizes", "right", "right_sizes")
     spread = blocks.repartition(F.xxhash64(F.get("left", F.lit(0)), F.get("right", F.lit(0))))
     one = spread.select(F.explode(F.arrays_zip("left", "left_sizes")).alias("l"), "right", "right_sizes")
     both = one.select("l", F.explode(F.arrays_zip("right", "right_sizes")).alias("r")).where(F.col("l.left") != F.col("r.right"))
     fits = F.least("l.left_sizes", "r.right_sizes") >= F.lit(threshold) * F.greatest("l.left_sizes", "r.right_sizes")
-    return both.where(fits).select(F.least("l.left", "r.right").alias("a"), F.greatest("l.left", "r.right").alias("b")).distinct()
+    pairs = both.where(fits).select(F.least("l.left", "r.right").alias("a"), F.greatest("l.left", "r.right").alias("b")).distinct()
+    mini = found.where(F.col("class").isNotNull()).select("class", "mini")
+    left = pairs.join(mini.select(F.col("class").alias("a"), F.col("mini").alias("ma")), "a")
+    seen = left.join(mini.select(F.col("class").alias("b"), F.col("mini").alias("mb")), "b").select("a", "b", "ma", "mb")
+    return seen.mapInArrow(_look, "a bigint, b bigint")
+
+
+def pack_set(s: np.ndarray) -> bytes:
+    """The high 40 bits of each hash; two shingles of a pair of texts meet by chance once in some 10^7 pairs."""
+    v = s >> np.uint64(24)
+    return v.astype(np.uint32).tobytes() + (v >> np.uint64(32)).astype(np.uint8).tobytes()
+
+
+def unpack_set(b: bytes) -> np.ndarray:
+    n = len(b) // 5
+    return np.frombuffer(b, np.uint32, n).astype(np.uint64) | (np.frombuffer(b, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32))
 
 
 def _sets(width: int, min_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -230,7 +276,7 @@ def _sets(width: int, min_words: int) -> Callable[[Iterator[pa.RecordBatch]], It
             for at in range(0, batch.num_rows, 1_000):
                 part = batch.slice(at, 1_000)
                 made = [shingles(t, width, min_words) for t in part.column("text").to_pylist()]
-                sets = pa.array([None if s is None else s.tobytes() for s in made], pa.binary())
+                sets = pa.array([None if s is None else pack_set(s) for s in made], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("class"), sets], names=["class", "shingles"])
 
     return run
@@ -242,7 +288,7 @@ def _verify(threshold: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
             sa, sb = batch.column("sa").to_pylist(), batch.column("sb").to_pylist()
             similar = np.zeros(batch.num_rows)
             for i, (x, y) in enumerate(zip(sa, sb, strict=True)):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                x, y = unpack_set(x), unpack_set(y)
                 both = np.concatenate((x, y))
                 both.sort()
                 shared = int((both[1:] == both[:-1]).sum())
@@ -264,9 +310,11 @@ def similar_classes(docs: DataFrame, key: str, text: str, threshold: float, widt
     """Verified pairs ``(a, b, similarity)`` of classes of different texts."""
     placed = classes_of(docs, key, text, min_words).select("class", "text")
     pairs = cut_lineage(candidates(placed, width, min_words, threshold, buckets))
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    needed = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct())
+    if needed.count() <= BROADCAST_ROWS:  # beyond it, texts are exchanged by class
+        needed = F.broadcast(needed)
     sets = placed.join(needed, "class", "left_semi").dropDuplicates(["class"]).mapInArrow(_sets(width, min_words), "class bigint, shingles binary")
-    sets = cut_lineage(sets.where(F.col("shingles").isNotNull()))
+    sets = sets.where(F.col("shingles").isNotNull())
     left = pairs.join(sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa")), "a")
     both = left.join(sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb")), "b").select("a", "b", "sa", "sb")
     return both.mapInArrow(_verify(threshold), "a bigint, b bigint, similarity double")

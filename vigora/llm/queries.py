@@ -15,8 +15,8 @@ ALIKE = {"threshold": 0.6, "width": 3, "min_words": 60}
 
 
 def buckets(docs: DataFrame) -> int:
-    """Buckets of band keys: some 60,000 rows of input each, read from the files' footers."""
-    return max(24, docs.count() // 60_000)
+    """Buckets of hashed keys: some 20,000 rows of input each, read from the files' footers."""
+    return max(12, docs.count() // 20_000)
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
