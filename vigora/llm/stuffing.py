@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigora.llm.neardup import M1, WORDS, mix
+from vigora.llm.neardup import M1, WordHash, mix
 from vigora.sources.tables import cut_lineage
 
 INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿\x00-\x08\x0b\x0c\x0e-\x1f]")
@@ -59,12 +59,13 @@ PLAIN, LIST, RUN, SENTENCE = range(4)
 SHORT, LONG_RUN, LEAST_ITEMS = 14, 40, 8
 
 
-#: Signs that stand for letters in disguised words.
+#: Signs that stand for letters in disguised words, and a quick look for them.
 DISGUISE = re.compile(r"(?<=[a-zà-ú])[0@](?=[a-zà-ú\s,;]|$)|(?<![\w.,@])[0@](?=[a-zà-ú])|(?<=[a-zà-ú])[0@](?=[0@])")
-
-
-#: Words written letter by letter with blanks or dots.
+DISGUISED = re.compile(r"0[a-zà-ú]")
+#: Words written letter by letter with blanks or dots, and a quick look for them.
 SPACED = re.compile(r"(?<!\w)\w([ .])\w(?:\1\w)+(?!\w)")
+IS_SPACED = re.compile(r"[ .,;\n]\w([ .])\w\1\w(?!\w)")
+DOT_GAP = re.compile(r"\.\s\.(?=\w)")
 
 
 def plain(text: str) -> str:
@@ -75,12 +76,25 @@ def plain(text: str) -> str:
         except (UnicodeEncodeError, UnicodeDecodeError):
             pass
     text = INVISIBLE.sub("", unicodedata.normalize("NFC", text)).lower().replace("\xa0", " ")
-    text = SPACED.sub(lambda m: m[0].replace(m[1], ""), re.sub(r"\.\s\.(?=\w)", " ", text))
-    if "@" in text or "0" in text:
+    if IS_SPACED.search(" " + text):
+        text = SPACED.sub(lambda m: m[0].replace(m[1], ""), DOT_GAP.sub(" ", text))
+    if "@" in text or DISGUISED.search(text):
         text = DISGUISE.sub(lambda m: "o" if m[0] == "0" else "a", text)
     return text
 
 
+class PlainHash(WordHash):
+    """As WordHash, 0 for a number."""
+
+    def __missing__(self, word: str) -> int:
+        if word[0].isdigit():
+            return 0
+        return super().__missing__(word)
+
+
+WORDS = PlainHash()
+
+
 def read_page(text: str) -> tuple[int, int, list[tuple[int, list[str]]]]:
     """``(words, direct, segments)`` of a page: ``direct`` words are links, tags or their captions."""
     text = plain(text)
@@ -151,7 +165,7 @@ def page_pairs(segments: list[tuple[int, list[str]]]) -> tuple[np.ndarray, np.nd
     kind = np.repeat(np.fromiter((k for k, _ in segments), np.int64, len(segments)), sizes)
     seg = np.repeat(np.arange(len(segments)), sizes)
     h = np.fromiter(map(WORDS.__getitem__, flat), np.uint64, len(flat))
-    number = np.fromiter((w[0].isdigit() for w in flat), bool, len(flat))
+    number = h == 0
     joined = (seg[1:] == seg[:-1]) & ~number[1:] & ~number[:-1]
     pair = mix(mix(h[:-1] + M1) + h[1:])
     keys, at, times = np.unique(pair[joined], return_inverse=True, return_counts=True)
@@ -189,28 +203,26 @@ def _pack(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
     """
 
     def flush(ids: list[int], pages: list[tuple], totals: list[tuple[int, int]]) -> pa.RecordBatch:
-        parts = []
-        for i, (keys, times, owned, ends) in enumerate(pages):
+        cols: dict[str, list[np.ndarray]] = {f: [] for f, _ in FIELDS}
+        for keys, times, owned, ends in pages:
             word, seen = np.unique(ends, return_counts=True)
-            r = np.zeros(len(keys) + len(word), np.dtype(list(FIELDS)))
-            r["key"] = np.concatenate((keys, word))
-            r["page"] = i
-            r["times"] = np.concatenate((times, -seen))
-            for k, name in enumerate(("list", "run", "sent")):
-                r[name][: len(keys)] = owned[:, k]
-            parts.append(r)
-        rows = np.concatenate(parts)
-        bucket = (mix(rows["key"]) % np.uint64(buckets)).astype(np.int32)
-        order = np.lexsort((rows["key"], bucket))
-        rows, bucket = rows[order], bucket[order]
-        edges = np.searchsorted(bucket, np.arange(buckets + 1))
+            none = np.zeros(len(word), np.int32)
+            for f, parts in (("key", (keys, word)), ("times", (times, -seen)), *((f, (owned[:, k], none)) for k, f in enumerate(("list", "run", "sent")))):
+                cols[f].extend(parts)
+        sizes = [len(k) + len(w) for k, w in zip(cols["key"][::2], cols["key"][1::2], strict=True)]
+        cols["page"].append(np.repeat(np.arange(len(pages), dtype=np.uint16), sizes))
+        rows = {f: np.concatenate(v).astype(kind, copy=False) for (f, kind), v in zip(FIELDS, cols.values(), strict=True)}
+        bucket = (rows["key"] >> np.uint64(20)) % np.uint64(buckets)
+        order = np.argsort(bucket.astype(np.uint16 if buckets < 65_536 else np.uint32), kind="stable")
+        rows = {f: v[order] for f, v in rows.items()}
+        edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
         table = np.array([(i, w, d) for i, (w, d) in zip(ids, totals, strict=True)], np.int64).tobytes()
         home = abs(ids[0]) % buckets  # the bucket whose partial sums carry the pages' totals
         out: list[bytes] = []
         for b in range(buckets):
-            part = rows[edges[b] : edges[b + 1]]
-            head = np.array([len(ids), len(part), b == home], np.int64).tobytes()
-            raw = head + table + b"".join(np.ascontiguousarray(part[f]).tobytes() for f, _ in FIELDS)
+            part = slice(edges[b], edges[b + 1])
+            head = np.array([len(ids), edges[b + 1] - edges[b], b == home], np.int64).tobytes()
+            raw = head + table + b"".join(v[part].tobytes() for v in rows.values())
             out.append(np.int64(len(raw)).tobytes() + pa.compress(raw, "zstd", asbytes=True))
         return pa.RecordBatch.from_arrays([pa.array(range(buckets), pa.int32()), pa.array(out, pa.binary())], names=["bucket", "payload"])
 
