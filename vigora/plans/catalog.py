@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigora.plans import problems
+from vigora.plans import documents, problems
 
-GROUPS = (problems,)
+GROUPS = (problems, documents)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
