@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigora.plans import documents, problems
+from vigora.plans import documents, library, problems
 
-GROUPS = (problems, documents)
+GROUPS = (problems, documents, library)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
