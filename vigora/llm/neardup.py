@@ -93,22 +93,19 @@ def sketch(sets: list[np.ndarray], bins: int = BINS) -> np.ndarray:
     owner = np.repeat(np.arange(n, dtype=np.int32) * np.int32(bins), sizes)
     out = np.full(n * bins, np.iinfo(np.uint64).max, np.uint64)
     open_bins = np.ones(n * bins, bool)
-    left = np.full(n, bins, np.int64)
 
     def drop(place: np.ndarray, h: np.ndarray) -> None:
         fits = open_bins[place]
         place = place[fits]
         np.minimum.at(out, place, mix(h[fits] + M1))
-        hit = np.flatnonzero(np.bincount(place, minlength=n * bins)) if len(place) > n * bins // 8 else np.unique(place)
-        open_bins[hit] = False
-        np.subtract(left, np.bincount(hit // bins, minlength=n), out=left)
+        open_bins[place] = False
 
     for i in range(0, bins, 3):
         h = mix(values ^ mix(np.full(1, i + 1, np.uint64) * M1))
         for k, shift in enumerate((np.uint64(43), np.uint64(22), np.uint64(1))):
             part = ((h >> shift) & np.uint64(0x1FFFFF)).astype(np.uint32)
             drop(owner + (part * np.uint64(bins) >> np.uint64(21)).astype(np.int32), h + np.uint64(k))
-        live = left > 0
+        live = open_bins.reshape(n, bins).any(axis=1)
         if not live.any():
             return out.reshape(n, bins)
         keep = live[owner // bins]
@@ -138,7 +135,7 @@ def _banded(width: int, min_words: int, bins: int, rows: int, buckets: int) -> C
     """
 
     def pack(classes: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        parts = [sketch(sets[i : i + 64], bins) for i in range(0, len(sets), 64)]
+        parts = [sketch(sets[i : i + 128], bins) for i in range(0, len(sets), 128)]
         keys = np.concatenate([band_keys(p, rows) for p in parts])
         mini = np.concatenate([p[:, :MINI].astype(np.uint8) for p in parts])
         bucket = ((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int32).ravel()
@@ -243,10 +240,14 @@ def _look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(axis=1) >= MINI_AGREE))
 
 
-def candidates(classes: DataFrame, width: int, min_words: int, threshold: float, buckets: int, bins: int = BINS, rows: int = ROWS) -> DataFrame:
-    """Distinct pairs ``(a, b)``, a < b, of classes that share a band, whose sizes and short sketches allow the threshold."""
+def sketched(classes: DataFrame, width: int, min_words: int, threshold: float, buckets: int, bins: int = BINS, rows: int = ROWS) -> DataFrame:
+    """Blocks of classes that share a band, and a row of each class that takes part (``class``, ``mini``); kept once."""
     packed = classes.mapInArrow(_banded(width, min_words, bins, rows, buckets), "bucket int, payload binary")
-    found = cut_lineage(packed.groupBy("bucket").applyInArrow(_collide(threshold), BLOCKS))
+    return cut_lineage(packed.groupBy("bucket").applyInArrow(_collide(threshold), BLOCKS))
+
+
+def candidates(found: DataFrame, threshold: float) -> DataFrame:
+    """Distinct pairs ``(a, b)``, a < b, of classes that share a band, whose sizes and short sketches allow the threshold."""
     blocks = found.where(F.col("left").isNotNull()).select("left", "left_sizes", "right", "right_sizes")
     spread = blocks.repartition(F.xxhash64(F.get("left", F.lit(0)), F.get("right", F.lit(0))))
     one = spread.select(F.explode(F.arrays_zip("left", "left_sizes")).alias("l"), "right", "right_sizes")
@@ -306,10 +307,10 @@ def classes_of(docs: DataFrame, key: str, text: str, min_words: int) -> DataFram
     return long_enough.select(key, F.xxhash64(text).alias("class"), F.col(text).alias("text"))
 
 
-def similar_classes(docs: DataFrame, key: str, text: str, threshold: float, width: int, min_words: int, buckets: int) -> DataFrame:
-    """Verified pairs ``(a, b, similarity)`` of classes of different texts."""
+def verified(docs: DataFrame, found: DataFrame, key: str, text: str, threshold: float, width: int, min_words: int) -> DataFrame:
+    """Pairs ``(a, b, similarity)`` of classes of different texts that reach the threshold on their exact shingle sets."""
     placed = classes_of(docs, key, text, min_words).select("class", "text")
-    pairs = cut_lineage(candidates(placed, width, min_words, threshold, buckets))
+    pairs = cut_lineage(candidates(found, threshold))
     needed = cut_lineage(pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct())
     if needed.count() <= BROADCAST_ROWS:  # beyond it, texts are exchanged by class
         needed = F.broadcast(needed)
@@ -320,25 +321,17 @@ def similar_classes(docs: DataFrame, key: str, text: str, threshold: float, widt
     return both.mapInArrow(_verify(threshold), "a bigint, b bigint, similarity double")
 
 
-def _members(width: int, min_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            enough = pa.array([len(WORD.findall(t.lower())) >= max(width, min_words) for t in batch.column("text").to_pylist()], pa.bool_())
-            yield batch.drop_columns(["text"]).filter(enough)
-
-    return run
-
-
-def membership(docs: DataFrame, key: str, text: str, width: int, min_words: int) -> DataFrame:
+def membership(docs: DataFrame, found: DataFrame, key: str, text: str, min_words: int) -> DataFrame:
     """Distinct ``(key, class)`` of the texts that take part."""
-    kind = docs.schema[key].dataType.simpleString()
-    return classes_of(docs, key, text, min_words).mapInArrow(_members(width, min_words), f"`{key}` {kind}, class bigint").distinct()
+    part = found.where(F.col("class").isNotNull()).select("class")
+    return classes_of(docs, key, text, min_words).select(key, "class").distinct().join(part, "class", "left_semi").select(key, "class")
 
 
 def similar_pairs(docs: DataFrame, key: str, text: str, threshold: float = 0.8, width: int = 5, min_words: int = 0, buckets: int = 24) -> DataFrame:
     """``(id_a, id_b)`` of all different keys whose texts reach the threshold, copies expanded."""
-    members = cut_lineage(membership(docs, key, text, width, min_words))
-    alike = similar_classes(docs, key, text, threshold, width, min_words, buckets)
+    found = sketched(classes_of(docs, key, text, min_words).select("class", "text"), width, min_words, threshold, buckets)
+    members = cut_lineage(membership(docs, found, key, text, min_words))
+    alike = verified(docs, found, key, text, threshold, width, min_words)
     many = members.groupBy("class").agg(F.count("*").alias("n")).where("n > 1").select("class")
     links = alike.select("a", "b").unionByName(many.select(F.col("class").alias("a"), F.col("class").alias("b")))
     left = links.join(members.select(F.col("class").alias("a"), F.col(key).alias("x")), "a")
@@ -346,7 +339,16 @@ def similar_pairs(docs: DataFrame, key: str, text: str, threshold: float = 0.8,
     return both.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
-def groups(members: DataFrame, links: DataFrame, key: str, rounds: int = 30) -> DataFrame:
+def similar_groups(docs: DataFrame, key: str, text: str, threshold: float = 0.8, width: int = 5, min_words: int = 0, buckets: int = 24) -> DataFrame:
+    """``(key, class, group_id, links)``: one row per key and class of equal texts, its group, and the class's links to other texts."""
+    found = sketched(classes_of(docs, key, text, min_words).select("class", "text"), width, min_words, threshold, buckets)
+    links = cut_lineage(verified(docs, found, key, text, threshold, width, min_words))
+    grouped = groups(membership(docs, found, key, text, min_words), links, key)
+    n = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
+    return grouped.join(n, "class", "left").select(key, "class", "group_id", F.coalesce("links", F.lit(0)).alias("links"))
+
+
+def groups(members: DataFrame, links: DataFrame, key: str) -> DataFrame:
     """``(key, class, group_id)``: the connected component of each class, by its least class.
 
     Labels spread along links and by pointer jumping until none changes; links hold pairs of classes
@@ -355,7 +357,7 @@ def groups(members: DataFrame, links: DataFrame, key: str, rounds: int = 30) ->
     edges = links.select(F.col("a").alias("u"), F.col("b").alias("v"))
     edges = cut_lineage(edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
     labels = edges.groupBy("u").agg(F.least("u", F.min("v")).alias("label"))
-    for _ in range(rounds):
+    while True:
         labels = cut_lineage(labels)
         near = edges.join(labels.select(F.col("u").alias("v"), "label"), "v").groupBy("u").agg(F.min("label").alias("near"))
         low = labels.join(near, "u").select("u", "label", F.least("label", "near").alias("low"))

@@ -5,10 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from vigora.llm import mixing, neardup, splitting, stuffing, tokens
-from vigora.sources.tables import cut_lineage, table
+from vigora.sources.tables import table
 
 #: Similarity, words of a sequence and least words of problem 3.
 ALIKE = {"threshold": 0.6, "width": 3, "min_words": 60}
@@ -26,11 +25,7 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p3_groups(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "chunk").select("id", "texto")
-    links = cut_lineage(neardup.similar_classes(docs, "id", "texto", **ALIKE, buckets=buckets(docs)))
-    members = neardup.membership(docs, "id", "texto", ALIKE["width"], ALIKE["min_words"])
-    grouped = neardup.groups(members, links, "id")
-    n = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("links"))
-    return grouped.join(n, "class", "left").select("id", "class", "group_id", F.coalesce("links", F.lit(0)).alias("links"))
+    return neardup.similar_groups(docs, "id", "texto", **ALIKE, buckets=buckets(docs))
 
 
 def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
