@@ -19,7 +19,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -77,14 +77,16 @@ def _bitmaps(frame: DataFrame, side: str) -> DataFrame:
 SURVIVORS = "key_range int, block long, period string, code int"
 
 
-def _and_not(pdf: pd.DataFrame) -> pd.DataFrame:
+def _and_not(table: pa.Table) -> pa.Table:
     """Reference AND NOT parent of one block, month by month; parents known before a month count in it."""
-    refs = pdf[pdf["side"] == "ref"].sort_values("period", na_position="first")
-    parents = pdf[pdf["side"] == "parent"].sort_values("period", na_position="first")
-    known, pending = np.zeros(4096, np.uint8), list(zip(parents["period"], parents["bits"], strict=True))
+    rows = sorted(zip(*(table.column(c).to_pylist() for c in ("side", "period", "bits")), strict=True), key=lambda r: (r[1] is not None, r[1] or ""))
+    pending = [(month, bits) for side, month, bits in rows if side == "parent"]
+    known = np.zeros(4096, np.uint8)
     codes: list[np.ndarray] = []
     months: list[str | None] = []
-    for month, bits in zip(refs["period"], refs["bits"], strict=True):
+    for side, month, bits in rows:
+        if side != "ref":
+            continue
         while pending and (pending[0][0] is None or (month is not None and pending[0][0] < month)):
             known |= np.frombuffer(zlib.decompress(pending.pop(0)[1]), np.uint8)
         left = np.frombuffer(zlib.decompress(bits), np.uint8) & ~known
@@ -92,22 +94,20 @@ def _and_not(pdf: pd.DataFrame) -> pd.DataFrame:
         codes.append(found)
         months.extend([month] * len(found))
     place = np.concatenate(codes) if codes else np.zeros(0, np.int64)
-    first = pdf.iloc[0]
-    block = int(first["block"])
-    return pd.DataFrame(
-        {
-            "key_range": np.full(len(place), int(first["key_range"]), np.int32),
-            "block": np.full(len(place), block, np.int64),
-            "period": months,
-            "code": (place + 1 + (block - 1) * 32_768).astype(np.int32),
-        }
-    )
+    key_range, block = table.column("key_range")[0].as_py(), table.column("block")[0].as_py()
+    made = {
+        "key_range": pa.array(np.full(len(place), key_range, np.int32)),
+        "block": pa.array(np.full(len(place), block, np.int64)),
+        "period": pa.array(months, pa.string()),
+        "code": pa.array((place + 1 + (block - 1) * 32_768).astype(np.int32)),
+    }
+    return pa.table(made)
 
 
-def _compress(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        pdf["bits"] = [zlib.compress(bytes(b), 1) for b in pdf["bits"]]
-        yield pdf
+def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        bits = pa.array([zlib.compress(b, 1) for b in batch.column("bits").to_pylist()], pa.binary())
+        yield batch.set_column(batch.schema.get_field_index("bits"), "bits", bits)
 
 
 def suspects(refs: DataFrame, parents: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -115,8 +115,8 @@ def suspects(refs: DataFrame, parents: DataFrame, dictionary: DataFrame) -> Data
     coded = lambda d: d.join(dictionary, ["ref_table", "target"])
     there = parents.where(~F.col("deleted")).select("ref_table", "target", F.date_format("first_at", "yyyy-MM").alias("period"))
     maps = _bitmaps(coded(refs.select("ref_table", "target", "period").distinct()), "ref").unionByName(_bitmaps(coded(there), "parent"))
-    packed = maps.mapInPandas(_compress, maps.schema)
-    left = packed.groupBy("key_range", "block").applyInPandas(_and_not, SURVIVORS)
+    packed = maps.mapInArrow(_compress, maps.schema)
+    left = packed.groupBy("key_range", "block").applyInArrow(_and_not, SURVIVORS)
     return dictionary.join(left.select("key_range", "code", "period"), ["key_range", "code"]).select("ref_table", "target", "period")
 
 
