@@ -30,7 +30,7 @@ def read_metas(spark: SparkSession, paths: str) -> DataFrame:
 
 def read_texts(spark: SparkSession, paths: str) -> DataFrame:
     """``(path, text)`` of whole text files."""
-    return spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
