@@ -279,7 +279,7 @@ def _score(known: float, share: float, excess: float) -> Callable[[pa.Table], pa
             heavy = (t >= 3) & (part >= share) & (part >= excess * c)
             stuffed = f["list"] * ((t >= 2) | (c >= known)) + f["run"] * (t >= 3) + f["sent"] * heavy
             sums = [np.bincount(page, weights=x, minlength=n) for x in (stuffed, t * pair, t * np.log(np.maximum(c, 1)))]
-            cols = (pages[:, 0], pages[:, 1] * home, pages[:, 2] * home, sums[0].astype(np.int64), sums[1].astype(np.int64), sums[2])
+            cols = (pages[:, 0], pages[:, 1] * home, pages[:, 2] * home, sums[0].astype(np.int64), sums[1].astype(np.int64), sums[2].astype(np.float64))
             for k, v in zip(out, cols, strict=True):
                 out[k].append(v)
         return pa.table({k: np.concatenate(v) for k, v in out.items()})

@@ -9,7 +9,7 @@ Defined results
 * null and empty texts give an empty list of ids, and the count 0;
 * blank, broken or invisible characters are ordinary text; marker strings of language models are
   ordinary text too (no special tokens);
-* an empty table gives an empty table.
+* an empty table gives an empty table; a column that has the name of the result is replaced by it.
 """
 
 from __future__ import annotations
@@ -106,11 +106,13 @@ def _encode(path: str, text: str, count_only: bool) -> Callable[[Iterator[pa.Rec
 
 def encode_texts(docs: DataFrame, text: str = "text", vocabulary: str = f"{VOCABULARIES}/{VOCABULARY}") -> DataFrame:
     """The other columns of ``docs`` with ``ids``, the token ids of ``text``; a narrow map without a shuffle."""
+    docs = docs.drop("ids")
     return docs.mapInArrow(_encode(vocabulary, text, False), with_field(docs.drop(text), "ids array<int>"))
 
 
 def count_tokens(docs: DataFrame, text: str = "text", vocabulary: str = f"{VOCABULARIES}/{VOCABULARY}") -> DataFrame:
     """The other columns of ``docs`` with ``n_tokens`` of ``text``; ids never leave the worker."""
+    docs = docs.drop("n_tokens")
     return docs.mapInArrow(_encode(vocabulary, text, True), with_field(docs.drop(text), "n_tokens bigint"))
 
 
