@@ -78,8 +78,8 @@ def prefix_join(codes: DataFrame, parents: DataFrame, code: str, parent: str, wi
 
 
 def diff(old: DataFrame, new: DataFrame, key: Sequence[str], value: Column) -> DataFrame:
-    """``(*key, change)``: added, removed or changed keys between two versions of a table."""
-    mark = lambda d, n: d.groupBy(*key).agg(F.max(F.xxhash64(value)).alias(n))
+    """``(*key, change)``: added, removed or changed keys between two versions of a table; of repeated keys the greatest value."""
+    mark = lambda d, n: d.groupBy(*key).agg(F.max(value).alias(n))
     both = mark(old, "_o").join(mark(new, "_n"), list(key), "full")
     change = F.when(F.col("_o").isNull(), "added").when(F.col("_n").isNull(), "removed").when(F.col("_o") != F.col("_n"), "changed")
     return both.select(*key, change.alias("change")).where("change IS NOT NULL")

@@ -335,3 +335,41 @@ ORACLE: dict[str, str] = {
         array_to_string(list_sort(list_distinct(list_filter(list_transform(regexp_extract_all(texto, '(?i){D.REF}', 1), lambda r: 'art-' || {_STRIP("regexp_replace(r, '[ºo]', '', 'g')")}),
         lambda r: r <> 'art-' || coalesce({_STRIP("regexp_replace(artigo, '[ºo]', '', 'g')")}, '')))), '|') AS refs FROM latest WHERE texto IS NOT NULL""",
 }
+
+_SECTIONS = "sections AS (SELECT DISTINCT lower(x) AS name FROM (SELECT unnest(secoes) AS x FROM norm_meta) WHERE x IS NOT NULL)"
+_KNOWN = "(length(line) BETWEEN 3 AND 80 AND lower(line) IN (SELECT name FROM sections))"
+_RULES = (
+    (f"(?i){D.APPENDIX}", "appendix"), (D.ITEM_APPENDIX_DEEP, "item"), (D.ITEM_APPENDIX, "item"), (D.ITEM_DEEP, "item"), (D.ITEM, "item"),
+    (D.ITEM_P, "item"), (D.ALINEA, "alinea"), (D.SUBITEM, "subitem"),
+)
+_G = lambda p, i: f"regexp_extract(line, '{p}', {i})"
+_ACCOUNTING = f"""{_LINES}, {_SECTIONS},
+told AS (SELECT *, CASE WHEN line = '' THEN 'blank' {' '.join(f"WHEN regexp_matches(line, '{p}') THEN '{k}'" for p, k in _RULES)}
+    WHEN (regexp_matches(line, '{D.SECTION}') AND length(line) BETWEEN 3 AND 100) OR {_KNOWN} THEN 'section' ELSE 'text' END AS kind,
+  CASE {' '.join(f"WHEN regexp_matches(line, '{p}') THEN {i}" for i, (p, _) in enumerate(_RULES))} END AS rule FROM ln),
+parts AS (SELECT *,
+  CASE rule WHEN 1 THEN {_G(D.ITEM_APPENDIX_DEEP, 1)} || {_G(D.ITEM_APPENDIX_DEEP, 2)} WHEN 2 THEN {_G(D.ITEM_APPENDIX, 1)} || {_G(D.ITEM_APPENDIX, 2)}
+    {' '.join(f'WHEN {i} THEN {_G(p, 1)}' for i, (p, _) in enumerate(_RULES) if i > 2)} END AS number,
+  CASE rule WHEN 0 THEN {_G(_RULES[0][0], 1)} WHEN 1 THEN {_G(D.ITEM_APPENDIX_DEEP, 1)} WHEN 2 THEN {_G(D.ITEM_APPENDIX, 1)} END AS appendix,
+  {_STRIP(f"CASE WHEN kind IN ('section', 'text', 'blank') THEN line WHEN rule = 0 THEN {_G(_RULES[0][0], 2)} WHEN rule IN (1, 2) THEN CASE rule WHEN 1 THEN {_G(D.ITEM_APPENDIX_DEEP, 3)} ELSE {_G(D.ITEM_APPENDIX, 3)} END ELSE CASE rule {' '.join(f'WHEN {i} THEN {_G(p, 2)}' for i, (p, _) in enumerate(_RULES) if i > 2)} END END")} AS text
+  FROM told),
+state AS (SELECT *, coalesce(last_value(CASE WHEN kind = 'section' THEN text WHEN kind = 'appendix' THEN 'APÊNDICE ' || appendix || CASE WHEN text <> '' THEN ' – ' || text ELSE '' END END IGNORE NULLS) OVER w, '{D.FIRST_SECTION}') AS secao,
+  last_value(CASE WHEN kind = 'appendix' THEN appendix WHEN kind = 'section' AND NOT starts_with(upper(text), 'APÊNDICE') AND NOT starts_with(upper(text), 'APENDICE') THEN '' END IGNORE NULLS) OVER w AS letter,
+  sum((kind = 'item')::INT) OVER w AS pos, last_value(CASE WHEN kind = 'item' THEN 1 WHEN kind IN ('section', 'appendix') THEN 0 END IGNORE NULLS) OVER w AS opened
+  FROM parts WINDOW w AS (PARTITION BY doc_id ORDER BY line_no)),
+items AS (SELECT doc_id, pos, max(number) FILTER (kind = 'item') AS numero, max(secao) FILTER (kind = 'item') AS secao,
+  max(coalesce(appendix, nullif(letter, ''))) FILTER (kind = 'item') AS apendice,
+  {_STRIP("string_agg(text, chr(10) ORDER BY line_no) FILTER (kind IN ('item', 'text', 'blank'))")} AS texto,
+  coalesce(string_agg(number || ') ' || text, chr(10) ORDER BY line_no) FILTER (kind = 'alinea'), '') AS alineas, count(*) FILTER (kind = 'alinea') AS n_alineas
+  FROM state WHERE opened = 1 AND kind NOT IN ('section', 'appendix') GROUP BY 1, 2),
+marked AS (SELECT *, regexp_matches(texto, '(?i){D.REVISED}')::INT AS rev FROM items),
+ranked AS (SELECT *, max(rev) OVER (PARTITION BY doc_id, numero, apendice) = 0 OR row_number() OVER (PARTITION BY doc_id, numero, apendice ORDER BY rev DESC, pos DESC) = 1 AS vigente FROM marked),
+units AS (SELECT *, CASE WHEN NOT vigente THEN sum((NOT vigente)::INT) OVER (PARTITION BY doc_id ORDER BY pos) END AS anterior FROM ranked)"""
+
+ORACLE |= {
+    "accounting_line_kinds": f"WITH {_ACCOUNTING} SELECT doc_id, kind, count(*) AS n FROM parts GROUP BY 1, 2",
+    "accounting_units": f"""WITH {_ACCOUNTING} SELECT doc_id, pos, numero, secao, apendice, md5(texto) AS texto, md5(alineas) AS alineas, array_to_string(regexp_extract_all(texto, '{D.ACCOUNTING_NOTE}'), '|') AS notas,
+        array_to_string(list_transform(list_sort(list_distinct(list_filter(regexp_extract_all(texto, '(?i){D.ITEM_REF}', 1), lambda r: r <> numero))), lambda r: 'item-' || lower(r)), '|') AS refs, vigente, anterior FROM units""",
+    "accounting_counts": f"""WITH {_ACCOUNTING} SELECT doc_id, count(*) AS n_itens, count(*) FILTER (vigente) AS n_vigentes, count(*) FILTER (apendice IS NOT NULL) AS n_apendice,
+        sum(n_alineas)::BIGINT AS n_alineas, count(DISTINCT secao) AS n_secoes FROM units GROUP BY 1""",
+}

@@ -351,3 +351,16 @@ ORACLE: dict[str, str] = {
     "v6_missing_annexes": "SELECT DISTINCT split_part(id, '--', 1) AS slug, x AS csv FROM (SELECT id, unnest(anexos) AS x FROM chunk) WHERE x <> '' AND (split_part(id, '--', 1), x) NOT IN (SELECT slug, csv FROM annex_cell)",
     "v7_mojibake": rf"SELECT doc_id, length({_STRIP('text')}) < 40 AS short FROM documents WHERE regexp_matches(text, '[ÃÂ][\x{{80}}-\x{{bf}}]')",
 }
+
+_UNITS = f"{_LATEST}, counted AS (SELECT split_part(id, '--', 1) AS slug, count(*) AS units, count(*) FILTER (vigente) AS current FROM latest GROUP BY 1)"
+ORACLE |= {
+    "x11_snapshot_diff": """
+        WITH a AS (SELECT id, max(coalesce(lower(trim(artigo, ' ')), '')) AS v, count(DISTINCT coalesce(lower(trim(artigo, ' ')), '')) AS n FROM chunk_snapshot WHERE snapshot_date = '2025-05-01' GROUP BY 1),
+        b AS (SELECT id, max(coalesce(lower(trim(artigo, ' ')), '')) AS v FROM chunk_snapshot WHERE snapshot_date = '2025-06-01' GROUP BY 1)
+        SELECT coalesce(a.id, b.id) AS id, CASE WHEN a.id IS NULL THEN 'added' WHEN b.id IS NULL THEN 'removed' ELSE 'changed' END AS change
+        FROM a FULL JOIN b ON a.id = b.id WHERE a.v IS DISTINCT FROM b.v""",
+    "v1_counts": f"""WITH {_NORMS}, {_UNITS} SELECT c.slug, c.units, coalesce(n_artigos, n_itens)::BIGINT AS said, c.current, coalesce(n_artigos_vigentes, n_itens_vigentes)::BIGINT AS said_current
+        FROM counted c JOIN norms n ON n.slug = c.slug WHERE c.units <> coalesce(n_artigos, n_itens) OR c.current <> coalesce(n_artigos_vigentes, n_itens_vigentes)""",
+    "v7_sanity": f"""WITH {_NORMS} SELECT identificador, 'no number' AS problem FROM norms WHERE numero IS NULL UNION ALL SELECT identificador, 'no year' FROM norms WHERE ano IS NULL
+        UNION ALL SELECT identificador, 'few units' FROM norms WHERE coalesce(n_artigos, n_itens) < 1""",
+}

@@ -117,3 +117,47 @@ ORACLE: dict[str, str] = {
     "p6_found": _P6 + "SELECT ref_table, id, target, kind, period FROM found WHERE kind IS NOT NULL",
     "p6_report": _P6 + "SELECT ref_table, period, kind, count(*) AS n FROM found WHERE kind IS NOT NULL GROUP BY 1, 2, 3",
 }
+
+_P2 = """
+WITH valid AS (SELECT * FROM raw_record WHERE feed IS NOT NULL AND file_no IS NOT NULL AND json_valid(body) AND json_type(body) = 'OBJECT'),
+flat AS (
+  SELECT v.feed, v.file_no, v.delivered_at, v.line_no, v.rec_id, coalesce(v.body ->> '$.ITEM', v.body ->> '$.id') AS rec_key, e.key AS field,
+    CASE e.type WHEN 'NULL' THEN NULL WHEN 'VARCHAR' THEN 'string' WHEN 'BOOLEAN' THEN 'boolean' WHEN 'ARRAY' THEN 'list' WHEN 'OBJECT' THEN 'object' ELSE 'number' END AS kind,
+    json_extract_string(e.value, '$') AS value
+  FROM valid v, json_each(v.body) e),
+header AS (SELECT feed, file_no, field, mode(kind) AS kind FROM flat GROUP BY 1, 2, 3),
+files AS (SELECT feed, file_no, lag(file_no) OVER w AS prev_no, lead(file_no) OVER w AS next_no
+  FROM (SELECT DISTINCT feed, file_no FROM header) WINDOW w AS (PARTITION BY feed ORDER BY file_no)),
+seen AS (SELECT h.*, f.prev_no, f.next_no, lag(h.file_no) OVER w AS before_no, lead(h.file_no) OVER w AS after_no
+  FROM header h JOIN files f ON f.feed = h.feed AND f.file_no = h.file_no WINDOW w AS (PARTITION BY h.feed, h.field ORDER BY h.file_no)),
+come AS (SELECT feed, file_no, prev_no, field FROM seen WHERE prev_no IS NOT NULL AND before_no IS DISTINCT FROM prev_no),
+go AS (SELECT feed, next_no AS file_no, field AS old FROM seen WHERE next_no IS NOT NULL AND after_no IS DISTINCT FROM next_no),
+last_ AS (SELECT * FROM flat WHERE rec_key IS NOT NULL QUALIFY row_number() OVER (PARTITION BY feed, file_no, field, rec_key ORDER BY delivered_at DESC, line_no DESC, rec_id DESC) = 1),
+present AS (SELECT DISTINCT feed, file_no, rec_key FROM last_),
+equal AS (
+  SELECT c.feed, c.file_no, g.old, c.field, avg((o.kind IS NOT DISTINCT FROM n.kind AND o.value IS NOT DISTINCT FROM n.value)::INT) AS share
+  FROM come c JOIN go g ON g.feed = c.feed AND g.file_no = c.file_no
+  JOIN last_ o ON o.feed = c.feed AND o.file_no = c.prev_no AND o.field = g.old AND o.kind IS NOT NULL
+  JOIN present p ON p.feed = c.feed AND p.file_no = c.file_no AND p.rec_key = o.rec_key
+  LEFT JOIN last_ n ON n.feed = c.feed AND n.file_no = c.file_no AND n.field = c.field AND n.rec_key = o.rec_key
+  GROUP BY 1, 2, 3, 4 HAVING avg((o.kind IS NOT DISTINCT FROM n.kind AND o.value IS NOT DISTINCT FROM n.value)::INT) >= 0.8),
+renamed AS (SELECT * FROM equal
+  QUALIFY row_number() OVER (PARTITION BY feed, file_no, old ORDER BY share DESC, field) = 1 AND row_number() OVER (PARTITION BY feed, file_no, field ORDER BY share DESC, old) = 1),
+typed AS (SELECT feed, file_no, field, kind, lag(kind) OVER (PARTITION BY feed, field ORDER BY file_no) AS was FROM header WHERE kind IS NOT NULL)
+SELECT feed, file_no, 'renamed' AS change, field FROM renamed
+UNION ALL SELECT feed, file_no, 'added', field FROM come c WHERE NOT EXISTS (FROM renamed r WHERE r.feed = c.feed AND r.file_no = c.file_no AND r.field = c.field)
+UNION ALL SELECT feed, file_no, 'removed', old FROM go g WHERE NOT EXISTS (FROM renamed r WHERE r.feed = g.feed AND r.file_no = g.file_no AND r.old = g.old)
+UNION ALL SELECT feed, file_no, 'retyped', field FROM typed WHERE was <> kind
+"""
+
+_P5 = r"""
+WITH heads AS (SELECT DISTINCT slug, csv, row_no, cells, unnest(header) AS head, generate_subscripts(header, 1) AS col FROM annex_cell),
+wanted AS (SELECT DISTINCT slug, csv, row_no, col, cells[col] AS cell FROM heads WHERE regexp_matches(upper(head), 'NCM|NBS') AND cells[col] IS NOT NULL),
+bare AS (SELECT *, regexp_extract_all(regexp_replace(cell, '\([^)]*\)|(?i:at[ée])\s*[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4}', ' ', 'g'),
+  '(?i)[0-9]+(?:\.[0-9]+)*(?:["”''’]?[\s\x{00a0},]*[-–]?[\s\x{00a0}]*ex\.?[\s\x{00a0}]*-?[\s\x{00a0}]*[0-9]{1,2})?') AS found FROM wanted),
+codes AS (SELECT slug, csv, row_no, col, list_filter(found, lambda m: length(replace(regexp_extract(m, '^[0-9.]+'), '.', '')) >= 4) AS found FROM bare),
+each AS (SELECT slug, csv, row_no, unnest(found) AS m, generate_subscripts(found, 1)::INT AS pos FROM codes WHERE len(found) >= 2)
+SELECT slug, csv, row_no, pos, regexp_extract(m, '^[0-9.]+') || CASE WHEN regexp_matches(m, '(?i)ex') THEN printf(' Ex %02d', regexp_extract(m, '([0-9]+)$', 1)::INT) ELSE '' END AS code FROM each
+"""
+
+ORACLE |= {"p2_found": _P2, "p5_found": _P5}
