@@ -16,6 +16,8 @@ def test_writings():
         "2062.72.78 até 17.10.2032; 1528.72 (nota 8), 7045 (10 un.) (*)": ["2062.72.78", "1528.72", "7045"],
         ";;1234.56.78,, 2345;": ["1234.56.78", "2345"],
         "25.22  5878\t3661.23\r\n5726": ["25.22", "5878", "3661.23", "5726"],
+        "91.05/72.24/8088/77.09/0116": ["91.05", "72.24", "8088", "77.09", "0116"],
+        "8471.30 e 1.1430 até 5/12/2031": ["8471.30", "1.1430"],
         "3 kg de 10 peças": [],
         "-": [],
     }

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 QUOTES = {'"': '"', "'": "'", "“": "”", "”": "”", "‘": "’", "«": "»"}
 BRACKETS = {"(": ")", "[": "]", "{": "}"}
 
-DATE = re.compile(r"(?:at[ée]|desde|de|em|a\s+partir\s+de)?\s*\d{1,2}[./-]\d{1,2}[./-]\d{4}(?![\d.])", re.I)
+DATE = re.compile(r"(?:at[ée]|desde|de|em|a\s+partir\s+de)?\s*(?:3[01]|[12]\d|0?[1-9])([./-])(?:1[0-2]|0?[1-9])\1(?:19|20)\d{2}(?![\d.])", re.I)
 NOTE = re.compile(r"(?:nota|notas|obs|item|itens|art|arts|lei|decreto|cap[íi]tulo|anexo)\b\.?\s*(?:n[ºo°]\s*)?\d*(?:\.\d+)*(?:/\d+)?", re.I)
 CODE = re.compile(r"\d+(?:\.\d+)*")
 SHAPE = re.compile(
