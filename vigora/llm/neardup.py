@@ -40,6 +40,8 @@ BINS, ROWS = 672, 6
 #: Odd multipliers of a 64-bit mixing function.
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BLOCK = 256
+#: Classes and shingles that are packed at once.
+BATCH_CLASSES, BATCH_SHINGLES = 8_192, 4_000_000
 #: Most classes (8 bytes each) that are sent to every executor to pick out their texts.
 BROADCAST_ROWS = 1_000_000
 #: Coordinates whose lowest byte is kept for a first look at a candidate pair, and how many must agree: a pair
@@ -160,6 +162,7 @@ def _banded(width: int, min_words: int, bins: int, rows: int, buckets: int) -> C
         classes: list[int] = []
         sets: list[np.ndarray] = []
         seen: set[int] = set()
+        held = 0
         for batch in batches:
             for c, t in zip(batch.column("class").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 if c in seen:
@@ -170,9 +173,10 @@ def _banded(width: int, min_words: int, bins: int, rows: int, buckets: int) -> C
                 seen.add(c)
                 classes.append(c)
                 sets.append(s)
-                if len(sets) == 8_192:
+                held += len(s)
+                if len(sets) == BATCH_CLASSES or held >= BATCH_SHINGLES:
                     yield from pack(classes, sets)
-                    classes, sets, seen = [], [], set()
+                    classes, sets, seen, held = [], [], set(), 0
         if sets:
             yield from pack(classes, sets)
 

@@ -192,6 +192,8 @@ def page_pairs(segments: list[tuple[int, list[str]]]) -> tuple[np.ndarray, np.nd
     return keys, times, owned, np.concatenate((h[:-1][joined], h[1:][joined]))
 
 
+#: Pages and words that are packed at once.
+BATCH_PAGES, BATCH_WORDS = 8_192, 4_000_000
 FIELDS = (("key", np.uint64), ("page", np.uint16), ("times", np.int32), ("list", np.int32), ("run", np.int32), ("sent", np.int32))
 
 
@@ -230,6 +232,7 @@ def _pack(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
         ids: list[int] = []
         pages: list[tuple] = []
         totals: list[tuple[int, int]] = []
+        held = 0
         for batch in batches:
             for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 words, direct, segments = read_page(t)
@@ -238,9 +241,10 @@ def _pack(buckets: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Reco
                 ids.append(i)
                 totals.append((words, direct))
                 pages.append(page_pairs(segments))
-                if len(ids) == 8_192:
+                held += words
+                if len(ids) == BATCH_PAGES or held >= BATCH_WORDS:
                     yield flush(ids, pages, totals)
-                    ids, pages, totals = [], [], []
+                    ids, pages, totals, held = [], [], [], 0
         if ids:
             yield flush(ids, pages, totals)
 
