@@ -373,3 +373,13 @@ ORACLE |= {
     "accounting_counts": f"""WITH {_ACCOUNTING} SELECT doc_id, count(*) AS n_itens, count(*) FILTER (vigente) AS n_vigentes, count(*) FILTER (apendice IS NOT NULL) AS n_apendice,
         sum(n_alineas)::BIGINT AS n_alineas, count(DISTINCT secao) AS n_secoes FROM units GROUP BY 1""",
 }
+
+_FRONT = ("identificador", "tipo", "numero", "ano", "fonte_arquivo", "sha256_16", "ementa")
+_HEAD = "upper(array_to_string(arr[1:15], chr(10)))"
+ORACLE |= {
+    "render_front_matter": f"SELECT DISTINCT identificador, concat_ws(chr(10), '---', {', '.join(f'''CASE WHEN {k} <> '' THEN '{k}: ' || to_json({k})::VARCHAR END''' for k in _FRONT)}, '---') AS front FROM norm_meta WHERE identificador IS NOT NULL",
+    "render_sections": f"WITH {_ACCOUNTING}, changed AS (SELECT doc_id, pos, secao AS heading, lag(secao) OVER (PARTITION BY doc_id ORDER BY pos) AS was FROM units) SELECT doc_id, pos, heading FROM changed WHERE heading IS DISTINCT FROM was",
+    "e3_identities": f"""WITH docs AS (SELECT doc_id, text, {_ARR} AS arr FROM documents WHERE text IS NOT NULL)
+        SELECT doc_id, CASE {' '.join(f"WHEN contains({_HEAD}, '{k}') THEN '{v}'" for k, v in D.TYPES)} END AS tipo,
+          nullif(replace(regexp_extract({_HEAD}, '(?i){M.NUMBER}', 1), '.', ''), '') AS numero, nullif(regexp_extract(left(text, 1200), '{M.YEAR}', 1), '') AS ano FROM docs""",
+}

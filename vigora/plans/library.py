@@ -14,6 +14,7 @@ from vigora.operators import render as R
 from vigora.operators import retrieval as X
 from vigora.operators import validation as V
 from vigora.operators.lines import needs_ocr
+from vigora.plans.problems import _P1
 from vigora.sources.tables import table
 
 
@@ -364,3 +365,4 @@ ORACLE |= {
     "v7_sanity": f"""WITH {_NORMS} SELECT identificador, 'no number' AS problem FROM norms WHERE numero IS NULL UNION ALL SELECT identificador, 'no year' FROM norms WHERE ano IS NULL
         UNION ALL SELECT identificador, 'few units' FROM norms WHERE coalesce(n_artigos, n_itens) < 1""",
 }
+ORACLE["x21_state_at"] = _P1 + "SELECT vigente, count(*) AS n FROM history WHERE valid_from <= '2025-09-01' AND valid_to > '2025-09-01' GROUP BY 1"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,8 +19,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="vigora-checkpoint-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        folder = tempfile.mkdtemp(prefix="vigora-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.setCheckpointDir(folder)
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
