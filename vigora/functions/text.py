@@ -39,7 +39,3 @@ def note_set(notes: Column) -> Column:
     squeezed = F.transform(F.coalesce(notes, F.array().cast("array<string>")), squeeze)
     return F.array_sort(F.array_distinct(F.filter(squeezed, lambda x: x.isNotNull() & (x != ""))))
 
-
-def is_caps(c: Column) -> Column:
-    """At least one cased letter and no lower-case one."""
-    return (F.upper(c) == c) & (F.lower(c) != c)

@@ -33,10 +33,7 @@ def ci(c: Column, pattern: str) -> Column:
 
 
 def is_noise(line: Column, patterns: Sequence[str]) -> Column:
-    hit = F.lit(False)
-    for p in patterns:
-        hit = hit | ci(line, p)
-    return hit
+    return ci(line, "(?:" + "|".join(patterns) + ")")
 
 
 def repeated_lines(pages: DataFrame, band: int = 3, min_ratio: float = 0.5) -> DataFrame:
@@ -59,9 +56,11 @@ def kept_lines(pages: DataFrame, how: D.Dialect) -> DataFrame:
     """``(doc_id, page_no, lines)``: the lines of each page without repeated ones and noise; blank lines stay, empty."""
     again = repeated_lines(pages).groupBy("doc_id").agg(F.collect_set("line").alias("again"))
     known = pages.join(again, "doc_id", "left").withColumn("again", F.coalesce("again", F.array().cast("array<string>")))
-    bare = F.transform(split_lines("text"), lambda x: F.when(strip(x) == "", F.lit("")).otherwise(rstrip(x)))
-    kept = F.filter(bare, lambda x: (x == "") | ~(F.array_contains(F.col("again"), strip(x)) | is_noise(strip(x), how.noise)))
-    return known.select("doc_id", "page_no", F.coalesce(kept, F.array().cast("array<string>")).alias("lines"))
+    lines = F.transform(split_lines("text"), lambda x: F.struct(rstrip(x).alias("r"), strip(x).alias("s")))
+    each = known.select("doc_id", "page_no", "again", lines.alias("l"))
+    kept = F.filter("l", lambda x: (x["s"] == "") | ~(F.array_contains(F.col("again"), x["s"]) | is_noise(x["s"], how.noise)))
+    texts = F.transform(kept, lambda x: F.when(x["s"] == "", "").otherwise(x["r"]))
+    return each.select("doc_id", "page_no", F.coalesce(texts, F.array().cast("array<string>")).alias("lines"))
 
 
 def dehyphenate(text: Column) -> Column:
