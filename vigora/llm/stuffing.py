@@ -29,6 +29,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +50,10 @@ CONTENT = re.compile(
     r"|\d{1,4}(?:\.\d+)*\s?[.)ºª–—-]|[ivxlcdm]+\s*(?:[–—.)-]|â)|[a-z]\s?\))",
 )
 INLINE_ITEM = re.compile(r"(?<=\s)(?=(?:art\. \d|§ \d|[ivxlcdm]{1,6} [–—-] |\d{1,3}\. [^\W\d_]))")
+IS_INLINE = re.compile(r"\s(?:art\. \d|§ \d|[ivxlcdm]{1,6} [–—-] |\d{1,3}\. [^\W\d_])")
 LEADER = re.compile(r"\.{4,}\s*\d+\s*$")
-SENTENCES = re.compile(r"(?<=[.!?])\s+")
-ITEMS = re.compile(r"[;|•·»>/]|,(?!\d)|\s[-–—]\s|\t")
+SENTENCES = re.compile(r"[.!?]\s+")
+ITEMS = re.compile(r";|\||•|·|»|>|/|,(?!\d)| [-–—] |\t")
 CLOSED = re.compile(r"[.!?][\"')\]]*\s*$")
 
 #: Kinds of words: counted only, item of a list, unpunctuated run, sentence.
@@ -129,15 +131,16 @@ def read_page(text: str) -> tuple[int, int, list[tuple[int, list[str]]]]:
             words += n
             direct += n
             line = TAG.sub(" ", line)
-        for part in INLINE_ITEM.split(line) if len(line) > 60 else (line,):
+        for part in INLINE_ITEM.split(line) if IS_INLINE.search(line) else (line,):
             if CONTENT.match(part) or LEADER.search(part) or (part.count("|") > 1 and 3 * sum(any(c.isdigit() for c in x) for x in part.split("|")) >= part.count("|")):
                 close()
                 found = WORD.findall(part)
                 words += len(found)
                 segments.append((PLAIN, found))
                 continue
-            for sentence in SENTENCES.split(part):
-                ended = CLOSED.search(sentence) is not None
+            sentences = SENTENCES.split(part)
+            for m, sentence in enumerate(sentences, 1):
+                ended = m < len(sentences) or CLOSED.search(sentence) is not None
                 items = ITEMS.split(sentence)
                 for k, item in enumerate(items):
                     found = WORD.findall(item)
@@ -158,38 +161,32 @@ def read_page(text: str) -> tuple[int, int, list[tuple[int, list[str]]]]:
 def page_pairs(segments: list[tuple[int, list[str]]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """``(keys, times, owned, ends)``: distinct pairs of a page, how often each stands in it, the words it owns
     by kind (list, run, sentence), and the words of all pairs. Pairs do not reach over segments or numbers."""
-    flat = [w for _, ws in segments for w in ws]
-    if not flat:
+    segments = [x for x in segments if x[1]]
+    if not segments:
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, 3), np.int64), np.zeros(0, np.uint64)
+    flat = list(chain.from_iterable(ws for _, ws in segments))
+    n = len(flat)
     sizes = np.fromiter((len(ws) for _, ws in segments), np.int64, len(segments))
-    kind = np.repeat(np.fromiter((k for k, _ in segments), np.int64, len(segments)), sizes)
+    kinds = np.fromiter((k for k, _ in segments), np.int64, len(segments))
     seg = np.repeat(np.arange(len(segments)), sizes)
-    h = np.fromiter(map(WORDS.__getitem__, flat), np.uint64, len(flat))
-    number = h == 0
-    joined = (seg[1:] == seg[:-1]) & ~number[1:] & ~number[:-1]
-    pair = mix(mix(h[:-1] + M1) + h[1:])
-    keys, at, times = np.unique(pair[joined], return_inverse=True, return_counts=True)
-    n = len(flat)
+    kind = kinds[seg]
+    h = np.fromiter(map(WORDS.__getitem__, flat), np.uint64, n)
+    word = h != 0
+    joined = (seg[1:] == seg[:-1]) & word[1:] & word[:-1]
+    first, second = h[:-1][joined], h[1:][joined]
+    keys, at, times = np.unique(mix(mix(first + M1) + second), return_inverse=True, return_counts=True)
     which = np.full(n + 1, -1, np.int64)  # pair to the left of each word, by its second word
     which[1:n][joined] = at
     count = np.append(times, 0)[which]
     take_right = count[1:] > count[:-1]
     owner = np.where(take_right, which[1:], which[:-1])
-    rank = np.where(take_right, count[1:], count[:-1])
-    whole = (kind == LIST) | (kind == SENTENCE)
-    if whole.any():  # items of a list and parts of a sentence go to their most repeated pair as a whole
-        best = np.full(len(segments), -1, np.int64)
-        score = np.where(whole, rank * (n + 1) + (n - np.arange(n)), -1)
-        top = np.full(len(segments), -1, np.int64)
-        np.maximum.at(top, seg, score)
-        lead = whole & (score == top[seg])
-        best[seg[lead]] = owner[lead]
-        owner = np.where(whole, best[seg], owner)
-    owned = np.zeros((len(keys), 3), np.int64)
-    has = owner >= 0
-    for k in (LIST, RUN, SENTENCE):
-        owned[:, k - 1] = np.bincount(owner[has & (kind == k)], minlength=len(keys))
-    return keys, times, owned, np.concatenate((h[:-1][joined], h[1:][joined]))
+    # items of a list and parts of a sentence go to their most repeated pair as a whole, the first of equals
+    score = np.where(take_right, count[1:], count[:-1]) * (n + 1) + np.arange(n, 0, -1)
+    lead = score == np.maximum.reduceat(score, np.cumsum(sizes) - sizes)[seg]
+    owner = np.where((kind == LIST) | (kind == SENTENCE), owner[lead][seg], owner)
+    has = (owner >= 0) & (kind != PLAIN)
+    owned = np.bincount(owner[has] * 3 + kind[has] - 1, minlength=3 * len(keys)).reshape(-1, 3)
+    return keys, times, owned, np.concatenate((first, second))
 
 
 #: Pages and words that are packed at once.
