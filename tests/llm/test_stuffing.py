@@ -49,6 +49,17 @@ def test_spam_and_content(spark):
         assert {i for i, r in got.items() if r["spam"]} == set(SPAM), {i: (r["share"], r["mean_pmi"]) for i, r in got.items() if i >= 800}
 
 
+def test_copies_and_shared_phrases_do_not_hide_spam(spark):
+    pages = corpus(random.Random(4), 400)
+    stuffed = SPAM[905]
+    copies = {1000 + i: stuffed for i in range(200)}
+    alike = {2000 + i: stuffed.replace("Tica", f"Vila {'abcdefghij'[i % 10] * (2 + i // 10)}") for i in range(200)}
+    for spam in (copies, alike):
+        df = spark.createDataFrame(list((pages | spam | HONEST).items()), "doc_id bigint, text string")
+        for buckets in (1, 7):
+            assert {r["doc_id"] for r in S.spam_pages(df, buckets).where("spam").collect()} == set(spam)
+
+
 def test_word_salad_has_no_mutual_information(spark):
     rng = random.Random(3)
     pages = corpus(rng)

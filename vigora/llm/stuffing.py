@@ -270,15 +270,21 @@ def _score(known: float, share: float, excess: float) -> Callable[[pa.Table], pa
         keys, at = np.unique(np.concatenate([f["key"] for _, f, _ in parts]), return_inverse=True)
         weights = np.abs(np.concatenate([f["times"] for _, f, _ in parts]))
         count = np.bincount(at, weights=weights, minlength=len(keys))[at] if len(keys) else np.zeros(0)
+        # background of a pair: how often it stands on the pages that it does not fill, and the words of these
+        size = np.concatenate([p[f["page"], 1] for p, f, _ in parts])
+        times = np.concatenate([f["times"] for _, f, _ in parts]).astype(np.int64)
+        fills = (times >= 3) & (times >= share * size)
+        other = np.bincount(at, weights=weights * ~fills, minlength=len(keys))[at] if len(keys) else np.zeros(0)
+        rest = sum(p[:, 1].sum() for p, _, _ in parts) - (np.bincount(at, weights=size * fills, minlength=len(keys))[at] if len(keys) else np.zeros(0))
+        heavy = fills & (times * rest >= excess * size * other)
         out: dict[str, list[np.ndarray]] = {c: [] for c in ("doc_id", "words", "direct", "stuffed", "pairs", "log_sum")}
         start = 0
         for pages, f, home in parts:
-            n, c = len(pages), count[start : start + len(f["key"])]
-            start += len(c)
-            t, page = f["times"].astype(np.int64), f["page"]
-            pair, part = t > 0, t / pages[page, 1]
-            heavy = (t >= 3) & (part >= share) & (part >= excess * c)
-            stuffed = f["list"] * ((t >= 2) | (c >= known)) + f["run"] * (t >= 3) + f["sent"] * heavy
+            rows = slice(start, start + len(f["key"]))
+            start = rows.stop
+            n, c, t, page = len(pages), count[rows], times[rows], f["page"]
+            pair = t > 0
+            stuffed = f["list"] * ((t >= 2) | (c >= known)) + f["run"] * (t >= 3) + f["sent"] * heavy[rows]
             sums = [np.bincount(page, weights=x, minlength=n) for x in (stuffed, t * pair, t * np.log(np.maximum(c, 1)))]
             cols = (pages[:, 0], pages[:, 1] * home, pages[:, 2] * home, sums[0].astype(np.int64), sums[1].astype(np.int64), sums[2].astype(np.float64))
             for k, v in zip(out, cols, strict=True):
@@ -292,12 +298,13 @@ def page_scores(docs: DataFrame, corpus_chars: int, buckets: int, share: float =
     """``(doc_id, words, direct, stuffed, pairs, log_sum)`` of every page with words.
 
     A pair stuffs the sentences that it leads if it makes up ``share`` of the page's words and is ``excess``
-    times as frequent there as in the corpus; it is known to the corpus from ``known`` of all words on.
+    times as frequent there as on the pages that it does not so fill, so copies of a page and pages that share
+    its phrase do not hide each other; it is known to the corpus from ``known`` of all words on.
     """
     corpus_words = max(corpus_chars / 6, 1.0)
     read = docs.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull()).select("doc_id", "text")
     packed = read.mapInArrow(_pack(buckets), "bucket int, payload binary")
-    score = _score(max(2.0, known * corpus_words), share, excess / corpus_words)
+    score = _score(max(2.0, known * corpus_words), share, excess)
     partial = packed.groupBy("bucket").applyInArrow(score, PARTIAL)
     return partial.groupBy("doc_id").agg(*[F.sum(c).alias(c) for c in ("words", "direct", "stuffed", "pairs", "log_sum")])
 
