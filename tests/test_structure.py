@@ -117,6 +117,33 @@ def test_metadata(spark):
     assert spark.range(1).select(M.title_case(F.lit("DEMONSTRAÇÃO DOS FLUXOS DE CAIXA"))).first()[0] == "Demonstração dos Fluxos de Caixa"
 
 
+def test_accounting_titles_and_summaries(spark):
+    far = "linha\n" * 300
+    head = "PRONUNCIAMENTO TÉCNICO CPC 16 (R1)\n"
+    cases = {
+        far + head + "Correlação às Normas\nEstoques b\nOBJETIVO": "Objetivo",
+        far + head + "Termos de uso deste material que passam de quarenta sinais\nEstoques b Correlação às Normas\nOBJETIVO": "Estoques",
+        head + "RECEITA DE CONTRATO SOBRE BENS\nX": "Receita de Contrato sobre Bens",
+        "NBC TG 1001, de 2021\nNBC TG 1001 – CONTABILIDADE PARA PEQUENAS EMPRESAS\nx": "Contabilidade para Pequenas Empresas",
+        "CONTABILIDADE SEM CABEÇALHO\nx": None,
+        None: None,
+    }
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string").select("i", M.title(F.col("t"))).collect()
+    assert {r[0]: r[1] for r in rows} == dict(enumerate(cases.values()))
+    item = "O objetivo é prescrever\n o tratamento contábil para os estoques da entidade."
+    joined = item.replace("\n ", " ")
+    cases = {
+        f"OBJETIVO\n1. {item}\n2. Segundo\n": joined,
+        f"ALCANCE\n1. {item}\n(a) letra": joined,
+        "1. curto\n2. Segundo": None,
+        "NBC TG 1001\nAprova a NBC TG 1001, que dispõe sobre a\ncontabilidade.\nOutra.": "dispõe sobre a contabilidade.",
+    }
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string").select("i", M.accounting_summary(F.col("t"))).collect()
+    assert {r[0]: r[1] for r in rows} == dict(enumerate(cases.values()))
+    case = lambda x: spark.range(1).select(M.title_case(F.lit(x))).first()[0]
+    assert case("Benefícios a Empregados b") == "Benefícios a Empregados" and case("Item b") == "Item B"
+
+
 def test_empty_documents(spark):
     docs = spark.createDataFrame([("a", None), ("b", ""), (None, "Art. 1º X")], "doc_id string, text string")
     known = spark.createDataFrame([], "name string")

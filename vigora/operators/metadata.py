@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -31,10 +31,23 @@ NUMBER = rf"(?:n[º°o]?\.?){D.S}*(\d[\d.]*)"
 YEAR = r"(?:^|[^\p{L}\p{N}_])((?:19|20)\d{2})(?:[^\p{L}\p{N}_]|$)"
 CPC_HEAD = rf"CPC{D.S}+(\d+)(?:{D.S}*\(R(\d+)\))?"
 NBC_HEAD = rf"NBC{D.S}+TG{D.S}+(\d+)(?:{D.S}*\(R(\d+)\))?"
+#: Header of an accounting norm: number, revision.
+CPC_START = rf"(?iu)PRONUNCIAMENTO{D.S}+T[ÉE]CNICO{D.S}+CPC{D.S}+(\d+)(?:{D.S}*\(R(\d+)\))?"
+NBC_START = rf"(?iu)NBC{D.S}+TG{D.S}+(\d+)(?:{D.S}*\(R(\d+)\))?"
+TITLE_BLOCK = (
+    r"^(?:Correla|IFRS|IAS|COMIT|Este material|Termos|Os pronunc|Pronunciamentos|República|Federativa|Notice|Reproduced|CPC/CPC|Committee"
+    r"|Support|Foundation|Accounting|Pronounc|\* |de outras partes|deverá ser|são emitidos|não devem ser|não foram|contém material"
+    r"|in respect|This material|Todos esses|organismo)"
+)
 SMALL_WORDS = (
     "a", "à", "ao", "aos", "as", "às", "com", "da", "das", "de", "do", "dos", "e", "em", "na", "nas", "no", "nos", "o", "os", "ou",
     "para", "pela", "pelas", "pelo", "pelos", "por",
 )
+#: Small words of accounting titles.
+TITLE_LOWER = (
+    "a", "à", "as", "às", "ao", "aos", "com", "da", "das", "de", "do", "dos", "e", "em", "na", "nas", "no", "nos", "o", "os", "ou",
+    "para", "por", "que", "sem", "sob", "sobre",
+)
 
 #: Letters that lose their marks in a slug: every precomposed Latin letter that decomposes to ASCII.
 ACCENTED = "".join(c for c in map(chr, range(0xC0, 0x250)) if len(d := unicodedata.normalize("NFKD", c)) > 1 and d[0].isascii() and d[1:].encode("ascii", "ignore") == b"")
@@ -146,28 +159,67 @@ def ifrs(text: Column) -> Column:
     return F.when(found != "", found)
 
 
-def objective(text: Column, limit: int = 500) -> Column:
-    """The text behind a line ``Objetivo`` up to the next title in capitals, at most ``limit`` characters."""
-    found = strip(F.regexp_extract(text, rf"(?:^|\n){D.S}*(?:Objetivo|OBJETIVO){D.S}*\n((?s:.)+?)(?:\n[{D.CAPS}][{D.CAPS} ]{{3,}}(?:\n|$)|$)", 1))
-    return F.when(found != "", F.left(found, F.lit(limit)))
+def nbc_title(text: Column) -> Column:
+    """Title in capitals behind ``NBC TG n –``, n being the number of the first ``NBC TG`` of the text."""
+    rx = F.concat(F.lit(f"NBC{D.S}+TG{D.S}+"), F.regexp_extract(text, NBC_START, 1), F.lit(rf"{D.S}*[–\-—]{D.S}*([{D.CAPS}][{D.CAPS} ,]{{5,100}})"))
+    found = F.regexp_replace(strip(F.call_function("regexp_extract", text, rx, F.lit(1))), ",+$", "")
+    return F.when(text.rlike(NBC_START) & (found != ""), title_case(found, TITLE_LOWER))
 
 
-def title(text: Column, number: Column, tail: int = 800) -> Column:
-    """First title-like line behind the header: capitals, then mostly capitalised words."""
-    lines = F.filter(F.transform(split_lines(F.substring(text, 1, tail)), strip), lambda x: F.length(x).between(6, 150))
-    caps = first_match(lines, lambda x: (F.upper(x) == x) & (F.lower(x) != x) & ~x.rlike(r"\d{3,}"), lambda x: x)
-    words = lambda x: F.filter(F.split(x, " "), lambda w: F.length(w) > 3)
-    share = lambda x: F.size(F.filter(words(x), lambda w: w.rlike(r"^\p{Lu}"))) / F.greatest(F.size(words(x)), F.lit(1))
-    mostly = first_match(lines, lambda x: (F.size(words(x)) > 1) & (share(x) >= 0.6) & ~x.endswith("."), lambda x: x)
-    return F.coalesce(caps, mostly)
+def nbc_summary(text: Column) -> Column:
+    """What the norm ``dispõe sobre``, to the full stop, from the line that approves it."""
+    found = F.regexp_extract(text, rf"(?iu)Aprova{D.S}+a{D.S}+NBC{D.S}+TG{D.S}+\d+,?{D.S}*(?:que{D.S}+)?(disp[õo]e{D.S}+sobre[^.]+\.)", 1)
+    return F.when(found != "", F.regexp_replace(strip(found), f"{D.S}+", " "))
 
 
-def title_case(text: Column) -> Column:
-    """Each word with a capital and the rest in lower case, small words in lower case but for the first."""
+def objective(text: Column, limit: int = 500) -> Column:
+    """Item 1 within 2,000 characters behind a line ``OBJETIVO``, else the first item 1 of 40 to 600 characters that
+    another item, a letter or a title follows; blanks made one, at most ``limit`` characters."""
+    after = F.regexp_extract(text, rf"(?md)^{D.S}*OBJETIVO{D.S}*$([\s\S]{{0,2000}})", 1)
+    stated = F.regexp_extract(after, rf"(?msd)^{D.S}*1\.{D.S}+(.+?)(?=^{D.S}*(?:2\.|[A-Z]{{4,}}){D.S})", 1)
+    following = rf"2\.|\(a\)|[A-Z][a-záéíóúãõç]+{D.S}*$|[{D.CAPS} ]{{3,}}$"
+    first = F.regexp_extract(text, rf"(?msd)^{D.S}*1\.{D.S}+(.{{40,600}}?)(?=\n{D.S}*(?:{following}))", 1)
+    found = F.when(stated != "", stated).otherwise(first)
+    return F.when(found != "", F.left(F.regexp_replace(strip(found), f"{D.S}+", " "), F.lit(limit)))
+
+
+def accounting_summary(text: Column) -> Column:
+    """Summary of an accounting norm: what an NBC TG says it is about, else the objective."""
+    nbc = text.rlike(NBC_START) & ~text.rlike(CPC_START)
+    return F.coalesce(F.when(nbc, nbc_summary(text)), objective(text))
+
+
+def title(text: Column, tail: int = 800) -> Column:
+    """Title of an accounting norm; of an NBC TG the one behind its number, else from ``tail`` characters behind the header.
+
+    There it is a line in capitals up to the first line of over 40 characters, else a line that starts with a
+    capital and is no boilerplate, else a long line of mostly capitalised words. No header, no title.
+    """
+    cpc = text.rlike(CPC_START)
+    behind = lambda head: F.regexp_extract(text, rf"{head}([\s\S]{{0,{tail}}})", 3)
+    lines = F.filter(F.transform(split_lines(F.when(cpc, behind(CPC_START)).otherwise(behind(NBC_START))), strip), lambda x: x != "")
+    upper = lambda x: x.rlike(r"\p{IsUppercase}") & ~x.rlike(r"[\p{IsLowercase}\p{Lt}]")
+    long = first_match(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.length(F.get(lines, i)) > 40, lambda i: i + 1)
+    top = F.slice(lines, F.lit(1), F.coalesce(long, F.size(lines)))
+    caps = first_match(top, lambda x: upper(x) & F.length(x).between(5, 150) & ~x.rlike("CORRELA|IFRS|IAS"), lambda x: x)
+    free = F.filter(lines, lambda x: ~x.rlike(TITLE_BLOCK))
+    short = first_match(free, lambda x: F.length(x).between(3, 130) & x.rlike(r"^\p{IsUppercase}") & ~x.rlike(r"[.,]$"), lambda x: x)
+    short = F.regexp_replace(short, rf"{D.S}+Correla[çc][ãa]o[\s\S]*$", "")
+    words = lambda x: F.filter(F.split(x, f"{D.S}+"), lambda w: w != "")
+    capital = lambda x: F.size(F.filter(words(x), lambda w: w.rlike(r"^\p{IsUppercase}")))
+    mostly = first_match(free, lambda x: (F.length(x) > 15) & (F.size(words(x)) >= 3) & (capital(x) >= F.size(words(x)) * 0.6), lambda x: x)
+    found = F.when(F.size(lines) > 0, F.coalesce(title_case(caps, TITLE_LOWER), title_case(short, TITLE_LOWER), mostly))
+    return F.when(cpc, found).when(text.rlike(NBC_START), F.coalesce(nbc_title(text), found))
+
+
+def title_case(text: Column, small: Sequence[str] = SMALL_WORDS) -> Column:
+    """Each word with a capital and the rest in lower case, small words in lower case but for the first; a lone
+    last lower-case letter or digit (a note's mark) goes."""
     def word(w: Column, i: Column) -> Column:
         low = F.lower(w)
-        return F.when((i > 0) & low.isin(*SMALL_WORDS), low).otherwise(F.concat(F.upper(F.left(low, F.lit(1))), F.substring(low, 2, 1_000_000)))
+        return F.when((i > 0) & low.isin(*small), low).otherwise(F.concat(F.upper(F.left(low, F.lit(1))), F.substring(low, 2, 1_000_000)))
 
+    text = F.regexp_replace(strip(text), rf"^(.{{4,}}{D.NOT_S}){D.S}+[a-z0-9]$", "$1")
     return F.array_join(F.transform(F.filter(F.split(text, f"{D.S}+"), lambda w: w != ""), word), " ")
 
 

@@ -125,7 +125,11 @@ def e9_correlations(spark: SparkSession, d: str) -> DataFrame:
 
 
 def e10_titles(spark: SparkSession, d: str) -> DataFrame:
-    return _texts(spark, d).where("text IS NOT NULL").select("doc_id", M.title(F.col("text"), F.lit(None)).alias("titulo")).where("titulo IS NOT NULL")
+    return _texts(spark, d).where("text IS NOT NULL").select("doc_id", M.title(F.col("text")).alias("titulo")).where("titulo IS NOT NULL")
+
+
+def e11_accounting_summaries(spark: SparkSession, d: str) -> DataFrame:
+    return _texts(spark, d).select("doc_id", M.accounting_summary(F.col("text")).alias("ementa")).where("ementa IS NOT NULL")
 
 
 def e12_objectives(spark: SparkSession, d: str) -> DataFrame:
@@ -227,7 +231,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         s2_needs_ocr, s4_ocr_choice, l1_repeated_lines, l2_noise_lines, l3_kept_lines, l4_dehyphenated, l5_paragraphs, l6_tidied,
         l7_orphans_merged, l8_titles_merged, l9_clean_law, l9_clean_accounting, e1_epigraphs, e3_identities, e4_summaries, e6_norm_ids,
-        e7_slugs, e8_accounting_headers, e9_correlations, e10_titles, e12_objectives, e13_title_case, e14_fingerprints, law_line_kinds, law_units, law_chunks,
+        e7_slugs, e8_accounting_headers, e9_correlations, e10_titles, e11_accounting_summaries, e12_objectives, e13_title_case, e14_fingerprints, law_line_kinds, law_units, law_chunks,
         law_counts, law_subunits, law_bodies, law_notes_refs, accounting_line_kinds, accounting_units, accounting_counts, render_front_matter,
         render_headings, render_sections, render_documents,
     )
