@@ -32,6 +32,13 @@ def test_cuts_at_the_strongest_boundary():
     assert {k for *_, k in P.cuts("x" * 1000, [], 100, 10)} == {"hard", "end"}
 
 
+def test_early_sentence_goes_before_a_word():
+    text = "Curta frase. " + "palavra " * 11 + "fim. " + "Outra frase. " * 3
+    whole, paragraphs = P.measured(text)
+    got = P.cuts(whole, paragraphs, 100, 5)
+    assert "word" not in {k for *_, k in got} and got[0] == (0, 13, "sentence")
+
+
 def test_table(spark):
     rows = [("a", None, 1), ("b", "", 1), ("c", "  \n ", 1), ("d", "x " * 1500, 1), ("d", "x " * 1500, 1), ("e", "y" + " " * 5000, 1), (None, "z" * 2401, 1)]
     df = spark.createDataFrame(rows, "id string, texto string, piece string")

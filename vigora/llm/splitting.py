@@ -3,7 +3,8 @@
 White space counts by runs: a run is one character of the measured text, a line feed where it holds a
 line break, else a blank; outer white space does not count. The measured text is cut by prefix sums of token lengths and a sorted array
 of boundaries: binary search finds the last boundary under the limit, the next piece starts the overlap
-before the cut, and where no boundary fits the cut is hard.
+before the cut, and where no boundary fits the cut is hard. In the second half of the window the strongest kind
+of boundary wins, else the last paragraph, item or sentence of the first half; a word only where there is none.
 
 Defined results
 ---------------
@@ -92,11 +93,18 @@ def cuts(text: str, paragraphs: list[int], limit: int = LIMIT, overlap: int = OV
             return pieces
         end, kind = start + limit, "hard"
         least = max(done, start + limit // 2)
-        for name, marks, floor in zip(("paragraph", "item", "sentence", "word"), kinds, (least, least, least, done), strict=True):
+        fits = []
+        for name, marks in zip(("paragraph", "item", "sentence", "word"), kinds, strict=True):
             k = bisect_right(marks, start + limit) - 1
-            if k >= 0 and marks[k] > floor:
-                end, kind = marks[k], name
-                break
+            if k >= 0 and marks[k] > done:
+                fits.append((marks[k], name))
+        natural = [x for x in fits if x[1] != "word"]
+        if late := [x for x in natural if x[0] > least]:
+            end, kind = late[0]
+        elif natural:
+            end, kind = max(natural, key=lambda x: x[0])
+        elif fits:
+            end, kind = fits[0]
         pieces.append((start, end, kind))
         done = end
         k = bisect_left(words, max(end - overlap, start + 1))
