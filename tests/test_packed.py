@@ -50,6 +50,15 @@ def test_very_long_cell():
     assert len(P.parse(cell)[0]) == 20_000
 
 
+def test_cells_with_dots_in_every_gap(spark):
+    cells = ["8471.30.12. 8471.41.00", "8471.; 8472.", "pos. 8471, pos. 8472", "8471.30"]
+    rows = [("a", "x.csv", i, ["NCM"], [c]) for i, c in enumerate(cells)]
+    df = spark.createDataFrame(rows, "slug string, csv string, row_no int, header array<string>, cells array<string>")
+    got = {(r["row_no"], r["pos"], r["code"]) for r in P.split_codes(df).collect()}
+    want = {(i, n, c) for i, x in enumerate(cells) for n, c in enumerate(P.parse(x)[0], 1) if len(P.parse(x)[0]) > 1}
+    assert got == want and {i for i, *_ in got} == {0, 1, 2}
+
+
 def test_cells_of_a_table(spark):
     schema = "slug string, csv string, row_no int, header array<string>, cells array<string>, code string, pos int"
     rows = [

@@ -149,7 +149,7 @@ def packed_cells(annexes: DataFrame, header_like: str = "NCM|NBS") -> DataFrame:
     each = placed.select("slug", "csv", "row_no", "cells", F.posexplode("header").alias("col", "head"))
     wanted = each.where(F.upper("head").rlike(header_like))
     cells = wanted.select("slug", "csv", "row_no", "col", F.get("cells", F.col("col")).alias("cell"))
-    return cells.where(F.col("cell").rlike(r"\d[^\d.]+\d")).distinct()
+    return cells.where(F.col("cell").rlike(r"\d[^\d]*[^\d.][^\d]*\d")).distinct()
 
 
 def split_codes(annexes: DataFrame, at_least: int = 2) -> DataFrame:
