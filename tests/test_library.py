@@ -18,6 +18,12 @@ from vigora.streaming import ingest
 CELLS = "slug string, csv string, row_no int, header array<string>, cells array<string>"
 
 
+def test_chains_of_any_length(spark):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(66)], "src int, dst int")
+    got = X.chain(edges).where("start = 0").agg(F.max("depth"), F.count("target")).first()
+    assert tuple(got) == (66, 66)
+
+
 def test_routing_numbering_and_stitching(spark):
     rows = [("n", "a.csv", i, ["Item", "", "NCM"], ["1", None]) for i in range(1, 5)]
     rows += [("n", "b.csv", i, ["x", "y"], ["1", "2", "3"][:2]) for i in range(1, 8)]

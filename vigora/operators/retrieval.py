@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import count
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -54,7 +55,7 @@ def rank_terms(docs: DataFrame, key: str, text: str, terms: Sequence[str], limit
     return docs.select(key, held.alias("held"), often.alias("often")).where("held > 0").orderBy(F.desc("held"), F.desc("often"), key).limit(limit)
 
 
-def chain(edges: DataFrame, rounds: int = 64) -> DataFrame:
+def chain(edges: DataFrame) -> DataFrame:
     """``(start, target, depth)``: everything reachable along ``(src, dst)``, with the least depth; cycles end.
 
     Semi-naive: each round joins the newly reached pairs only, and cuts their lineage.
@@ -62,7 +63,7 @@ def chain(edges: DataFrame, rounds: int = 64) -> DataFrame:
     step = edges.where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst").select("src", "dst").distinct()
     seen = cut_lineage(step.select(F.col("src").alias("start"), F.col("dst").alias("target"), F.lit(1).alias("depth")))
     fresh = seen
-    for depth in range(2, rounds):
+    for depth in count(2):
         nxt = fresh.join(step.withColumnRenamed("src", "target"), "target").select("start", F.col("dst").alias("target")).where("start <> target").distinct()
         fresh = cut_lineage(nxt.join(seen, ["start", "target"], "left_anti").withColumn("depth", F.lit(depth)))
         if fresh.isEmpty():
