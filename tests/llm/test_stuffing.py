@@ -1,6 +1,11 @@
 from __future__ import annotations
 
+import math
 import random
+from collections import Counter
+
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 
 from vigora.llm import stuffing as S
 
@@ -64,19 +69,70 @@ def test_word_salad_has_no_mutual_information(spark):
     rng = random.Random(3)
     pages = corpus(rng)
     words = " ".join(pages.values()).replace(",", "").replace(".", "").split()
-    pages |= {500 + i: ". ".join(" ".join(rng.choice(words) for _ in range(20)) for _ in range(12)) + "." for i in range(2)}
-    got = {r["doc_id"]: r["mean_pmi"] for r in S.spam_pages(spark.createDataFrame(list(pages.items()), "doc_id bigint, text string"), 3).collect()}
-    assert max(got[500], got[501]) < min(v for i, v in got.items() if i < 500) - 1
+    salad = lambda of: ". ".join(" ".join(rng.choice(of) for _ in range(20)) for _ in range(12)) + "."
+    by_frequency = {500 + i: salad(words) for i in range(3)}
+    by_vocabulary = {600 + i: salad(sorted(set(words))) for i in range(3)}
+    unknown = {700: salad([f"palavra{'abcdefgh'[i % 8]}{'ijklmnop'[i // 8]}" for i in range(64)])}
+    df = spark.createDataFrame(list((pages | by_frequency | by_vocabulary | unknown).items()), "doc_id bigint, text string")
+    got = {r["doc_id"]: r for r in S.spam_pages(df, 3).collect()}
+    assert {i for i, r in got.items() if r["spam"]} == by_frequency.keys() | by_vocabulary.keys()
+    assert max(got[i]["mean_pmi"] for i in by_frequency.keys() | by_vocabulary.keys()) < S.SALAD_PMI < min(got[i]["mean_pmi"] for i in pages) - 1
+    assert got[700]["mean_pmi"] is None  # words that no other page has say nothing
 
 
 def test_counts_are_those_of_the_whole_corpus(spark):
-    df = spark.createDataFrame([(1, "um dois três. um dois"), (2, "um dois")], "doc_id bigint, text string")
-    rows = {r["doc_id"]: r for r in S.page_scores(df.repartition(2), 60, 5).collect()}
-    assert {i: (r["words"], r["pairs"]) for i, r in rows.items()} == {1: (5, 3), 2: (2, 1)}
-    import math
-
-    # c(um dois) = 3, c(dois três) = 1; pairs that each word stands in: um 3, dois 4, três 1
-    assert abs(rows[2]["log_sum"] - (math.log(3) - math.log(3) - math.log(4))) < 1e-9
+    texts = {1: "um dois três. um dois", 2: "um dois", 3: "dois três um", 4: "três quatro", 5: ""}
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    pairs = {i: Counter(p for s in t.split(". ") for p in zip(s.split(), s.split()[1:], strict=False)) for i, t in texts.items()}
+    both = sum(pairs.values(), Counter())
+    ends = sum((Counter([w for p, n in c.items() for w in p * n]) for c in pairs.values()), Counter())
+    on = Counter(w for c in pairs.values() for w in {w for p in c for w in p})
+    total = sum(both.values())
+    for buckets, parts in ((1, 1), (5, 3)):
+        rows = {r["doc_id"]: r for r in S.page_scores(df.repartition(parts), buckets).collect()}
+        assert {i: (r["words"], r["pairs"]) for i, r in rows.items()} == {1: (5, 3), 2: (2, 1), 3: (3, 2), 4: (2, 1)}
+        for i, r in rows.items():
+            known = {p: n for p, n in pairs[i].items() if min(on[p[0]], on[p[1]]) >= 3}
+            assert r["informative"] == sum(known.values())
+            want = [n * math.log((both[x, y] - n + 1) / (ends[x] * ends[y] / (4 * total) + 1)) for (x, y), n in known.items()]
+            assert abs(r["pmi"] * max(sum(known.values()), 1) - sum(want)) < 1e-9
+
+
+def packed_bytes(texts, buckets):
+    rows = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    batches = list(S._pack(buckets, 0.06)(iter([rows])))
+    sent = pa.Table.from_batches(batches)
+    assert all(len(p) > 16 for p in sent["payload"].to_pylist())
+    keys = sent.filter(pa.compute.greater_equal(sent["bucket"], 0))
+    back = sum(sum(map(len, S._count(keys.filter(pa.compute.equal(keys["bucket"], b)))["payload"].to_pylist())) for b in set(keys["bucket"].to_pylist()))
+    return sum(map(len, sent["payload"].to_pylist())) + back
+
+
+def test_bytes_do_not_grow_with_buckets():
+    rng = random.Random(5)
+    words = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(4_000)]
+    texts = [" ".join(rng.choice(words) for _ in range(100)) + "." for _ in range(2_000)]
+    few, many = packed_bytes(texts, 12), packed_bytes(texts, 1_200)
+    assert many < 1.5 * few, (few, many)
+
+
+def test_a_pair_on_every_page_is_one_entry_of_a_batch():
+    texts = [f"contador barato {'abcdefghij'[i % 10] * (i // 10 + 1)}" for i in range(5_000)]
+    sent = pa.Table.from_batches(list(S._pack(1, 0.06)(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(5_000)), "text": texts})]))))
+    keys, times, *_ = S.spread(sent.filter(pa.compute.equal(sent["bucket"], 0))["payload"][0].as_py())
+    assert len(keys) == 10_003 and sorted(times.tolist())[-3:] == [5_000, 5_000, 10_000]
+
+
+def test_links_and_tags_count_by_the_corpus(spark):
+    """A list of links is spam because links follow links far more often than elsewhere, not because it has links."""
+    pages = corpus(random.Random(7), 200)
+    links = "\n".join(f"https://casa{i}.example/pagina" for i in range(20))
+    few = {i: t + "\n" + "\n".join(f"https://casa{k}.example/x" for k in range(4)) for i, t in pages.items() if i < 100}
+    df = lambda rows: spark.createDataFrame(list(rows.items()), "doc_id bigint, text string")
+    spam = lambda rows, **how: {r["doc_id"] for r in S.spam_pages(df(rows), 3, **how).where("spam").collect()}
+    assert spam(pages | few | {900: links}) == {900}
+    scores = {r["doc_id"]: r for r in S.page_scores(df(pages | few | {900: links}), 3, link_excess=1e9).collect()}
+    assert scores[900]["stuffed"] == 0 and scores[900]["words"] == 100  # without an excess over the corpus nothing is stuffed
 
 
 def test_empty_and_long(spark):

@@ -54,7 +54,7 @@ def p9_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
-    return p9_scores(spark, d).where("spam").select("doc_id")
+    return p9_scores(spark, d).where("spam").select("doc_id").distinct()
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p4_found, p4_pieces, p7_ids, p8_mix, p8_shares, p9_found, p9_scores)}
