@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 
 from vigora.llm import stuffing as S
+from vigora.llm.packing import spread
 
 SENTENCES = [
     "A entidade deve reconhecer a receita quando o controle do bem passa ao cliente, conforme o contrato assinado entre as partes.",
@@ -119,7 +120,7 @@ def test_bytes_do_not_grow_with_buckets():
 def test_a_pair_on_every_page_is_one_entry_of_a_batch():
     texts = [f"contador barato {'abcdefghij'[i % 10] * (i // 10 + 1)}" for i in range(5_000)]
     sent = pa.Table.from_batches(list(S._pack(1, 0.06)(iter([pa.RecordBatch.from_pydict({"doc_id": list(range(5_000)), "text": texts})]))))
-    keys, times, *_ = S.spread(sent.filter(pa.compute.equal(sent["bucket"], 0))["payload"][0].as_py())
+    keys, times, *_ = spread(sent.filter(pa.compute.equal(sent["bucket"], 0))["payload"][0].as_py())
     assert len(keys) == 10_003 and sorted(times.tolist())[-3:] == [5_000, 5_000, 10_000]
 
 

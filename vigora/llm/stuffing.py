@@ -36,11 +36,11 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigora.llm.neardup import M1, WordHash, mix
+from vigora.llm.packing import first_batch, spread, squeeze
 from vigora.sources.tables import cut_lineage
 
 INVISIBLE = re.compile("[­​-‏‪-‮⁠-⁤﻿\x00-\x08\x0b\x0c\x0e-\x1f]")
@@ -242,24 +242,6 @@ def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 BATCH_PAGES, BATCH_WORDS = 8_192, 4_000_000
 
 
-def squeeze(*arrays: np.ndarray) -> bytes:
-    """Arrays of integers that are not negative, each in the least width that holds it, compressed together."""
-    thin = [a.astype(np.min_scalar_type(int(a.max())) if len(a) else np.uint8, copy=False) for a in arrays]
-    head = np.array([x for a in thin for x in (a.itemsize, len(a))], np.int64)
-    raw = head.tobytes() + b"".join(a.tobytes() for a in thin)
-    return np.array([len(raw), len(thin)], np.int64).tobytes() + pa.compress(raw, "zstd", asbytes=True)
-
-
-def spread(payload: bytes) -> list[np.ndarray]:
-    size, n = (int(x) for x in np.frombuffer(payload, np.int64, 2))
-    raw = pa.decompress(payload[16:], size, "zstd", asbytes=True)
-    out, at = [], 16 * n
-    for width, count in np.frombuffer(raw, np.int64, 2 * n).reshape(n, 2).tolist():
-        out.append(np.frombuffer(raw, f"u{width}", count, at))
-        at += width * count
-    return out
-
-
 PACKED = "batch bigint, bucket int, payload binary, words bigint, pairs bigint"
 
 
@@ -305,8 +287,7 @@ def _pack(buckets: int, share: float) -> Callable[[Iterator[pa.RecordBatch]], It
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get()
-        batch = (task.partitionId() if task else 0) << 32
+        batch = first_batch()
         ids: list[int] = []
         pages: list[Pairs] = []
         sizes: list[int] = []
