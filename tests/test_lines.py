@@ -98,11 +98,44 @@ def test_tidy_noise_and_recognition(spark):
     assert one(spark, None, pick("auto")) == "longer text"
 
 
+def whole(rows):
+    """Texts of documents from their rows of lines."""
+    out = {}
+    for r in sorted(rows, key=lambda r: (r["doc_id"], r["line_no"])):
+        out.setdefault(r["doc_id"], []).append(r["line"])
+    return {d: "\n".join(ls) for d, ls in out.items()}
+
+
 def test_whole_cleaning_joins_pages_in_order(spark):
-    pages = [("d", 2, "DIÁRIO\nda lei.\n7"), ("d", 1, "DIÁRIO\nArt. 1º O dis-\nposto\n8"), ("e", 1, None)]
-    got = dict(L.clean_documents(spark.createDataFrame(pages, "doc_id string, page_no int, text string")).collect())
+    schema = "doc_id string, page_no int, text string"
+    pages = [("d", 2, "DIÁRIO\nda lei.\n7"), ("d", 1, "DIÁRIO\nArt. 1º O dis-\nposto\n8"), ("e", 1, None), (None, 1, "texto")]
     # short pages: their bands overlap, so all their lines count as repeated; the quirk is kept
-    assert got == {"d": "", "e": ""}
+    assert whole(L.clean_lines(spark.createDataFrame(pages, schema)).collect()) == {}
     long = [("d", n, "HEAD\n" + "\n".join(f"parte {n} {i}" for i in range(8)) + f"\n{n}") for n in (1, 2)]
-    got = dict(L.clean_documents(spark.createDataFrame(long, "doc_id string, page_no int, text string")).collect())
+    got = whole(L.clean_lines(spark.createDataFrame(long, schema)).collect())
     assert got["d"] == " ".join(f"parte {n} {i}" for n in (1, 2) for i in range(8))
+
+
+def test_rows_of_lines_against_whole_texts(spark):
+    """Cleaning over rows equals the same steps on the text of each document."""
+    rng = random.Random(4)
+    bits = ["", "", "  ", "1.", "2.4", "B1.", "word and", " padded end-", "on it", "Ends.", "Art. 3 x", "§ 1º y", "a) b", "more;", "FLUXOS DE", "CAIXA - B", "M O D E L O S", "tail: ", "x\t  y"]
+    texts = ["\n".join(rng.choice(bits) for _ in range(rng.randint(0, 14))) for _ in range(300)]
+    filler = "\n".join(f"corpo da página {k}." for k in range(8))
+    rows = [(i, 2 * n + 1, part) for i, t in enumerate(texts) for n, part in enumerate((t[: len(t) // 2], t[len(t) // 2 :], filler))]
+    pages = spark.createDataFrame(rows, "doc_id int, page_no int, text string").repartition(3)
+    for how in (D.LAW, D.ACCOUNTING):
+        got = whole(L.clean_lines(pages, how).collect())
+        kept = {}
+        for r in L.kept_lines(pages, how).collect():
+            kept.setdefault(r["doc_id"], {})[r["page_no"]] = r["lines"]
+        joined = ["\n".join(x for _, ls in sorted(kept[i].items()) for x in ls) for i in range(len(texts))]
+
+        def steps(c, how=how):
+            c = L.dehyphenate(c)
+            if how.orphans:
+                c = L.merge_titles(F.split(L.merge_orphans(c), "\n", -1))
+            return L.tidy(L.rejoin(c, how))
+
+        want = {i: t for i, t in enumerate(many(spark, joined, steps)) if t}
+        assert got == want

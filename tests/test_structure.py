@@ -12,7 +12,7 @@ from vigora.operators import structure as S
 
 
 def units(spark, text, how=S.law_units):
-    return how(spark.createDataFrame([("d", text)], "doc_id string, text string")).orderBy("pos").collect()
+    return how(S.numbered_lines(spark.createDataFrame([("d", text)], "doc_id string, text string"))).orderBy("pos").collect()
 
 
 def test_references_are_no_articles(spark):
@@ -33,7 +33,7 @@ def test_breadcrumb_annex_and_divisions(spark):
     assert [(r["numero"], r["breadcrumb"], r["texto"]) for r in rows] == [
         ("1", "LIVRO I > TÍTULO I > CAPÍTULO I", "A"), ("2", "LIVRO I > TÍTULO II", "B\n\nc"), ("3", "LIVRO I > TÍTULO II", "D"),
     ]
-    shown = R.headings(S.law_units(spark.createDataFrame([("d", text)], "doc_id string, text string"))).orderBy("pos").collect()
+    shown = R.headings(S.law_units(S.numbered_lines(spark.createDataFrame([("d", text)], "doc_id string, text string")))).orderBy("pos").collect()
     assert [r["headings"] for r in shown] == ["## LIVRO I\n### TÍTULO I\n#### CAPÍTULO I", "### TÍTULO II", ""]
 
 
@@ -70,7 +70,7 @@ def test_parse_against_reading_line_by_line(spark):
     texts = ["\n".join(rng.choice(bits) for _ in range(rng.randint(1, 14))) for _ in range(300)]
     df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "doc_id string, text string")
     got = {}
-    for r in S.law_units(df).orderBy("pos").collect():
+    for r in S.law_units(S.numbered_lines(df)).orderBy("pos").collect():
         got.setdefault(r["doc_id"], []).append((r["numero"], r["breadcrumb"], r["texto"]))
     assert got == {str(i): u for i, t in enumerate(texts) if (u := read_units(t))}
 
@@ -147,5 +147,5 @@ def test_accounting_titles_and_summaries(spark):
 def test_empty_documents(spark):
     docs = spark.createDataFrame([("a", None), ("b", ""), (None, "Art. 1º X")], "doc_id string, text string")
     known = spark.createDataFrame([], "name string")
-    assert S.law_units(docs).collect() == [] and S.accounting_units(docs, known).collect() == []
+    assert S.law_units(S.numbered_lines(docs)).collect() == [] and S.accounting_units(S.numbered_lines(docs), known).collect() == []
     assert L.split_lines("text") is not None

@@ -29,22 +29,17 @@ NAVIGATION = (
 )
 NUMBER = rf"(?:n[º°o]?\.?){D.S}*(\d[\d.]*)"
 YEAR = r"(?:^|[^\p{L}\p{N}_])((?:19|20)\d{2})(?:[^\p{L}\p{N}_]|$)"
-CPC_HEAD = rf"CPC{D.S}+(\d+)(?:{D.S}*\(R(\d+)\))?"
-NBC_HEAD = rf"NBC{D.S}+TG{D.S}+(\d+)(?:{D.S}*\(R(\d+)\))?"
-#: Header of an accounting norm: number, revision.
+# Header of an accounting norm (number, revision), its correlation with an international standard,
+# lines that are no title, words that stay in lower case.
 CPC_START = rf"(?iu)PRONUNCIAMENTO{D.S}+T[ÉE]CNICO{D.S}+CPC{D.S}+(\d+)(?:{D.S}*\(R(\d+)\))?"
 NBC_START = rf"(?iu)NBC{D.S}+TG{D.S}+(\d+)(?:{D.S}*\(R(\d+)\))?"
+CORRELATION = rf"(?iu)Correla[çc][ãa]o{D.S}+[àa]s?{D.S}+Normas[\s\S]*?(IAS|IFRS|IFRIC|SIC){D.S}+(\d+)"
 TITLE_BLOCK = (
     r"^(?:Correla|IFRS|IAS|COMIT|Este material|Termos|Os pronunc|Pronunciamentos|República|Federativa|Notice|Reproduced|CPC/CPC|Committee"
     r"|Support|Foundation|Accounting|Pronounc|\* |de outras partes|deverá ser|são emitidos|não devem ser|não foram|contém material"
     r"|in respect|This material|Todos esses|organismo)"
 )
 SMALL_WORDS = (
-    "a", "à", "ao", "aos", "as", "às", "com", "da", "das", "de", "do", "dos", "e", "em", "na", "nas", "no", "nos", "o", "os", "ou",
-    "para", "pela", "pelas", "pelo", "pelos", "por",
-)
-#: Small words of accounting titles.
-TITLE_LOWER = (
     "a", "à", "as", "às", "ao", "aos", "com", "da", "das", "de", "do", "dos", "e", "em", "na", "nas", "no", "nos", "o", "os", "ou",
     "para", "por", "que", "sem", "sob", "sobre",
 )
@@ -104,18 +99,30 @@ def norm_id(tipo: Column, numero: Column, ano: Column, other: Column) -> Column:
     return F.when((tipo != "") & (numero != ""), full).otherwise(other)
 
 
-def summary(text: Column) -> Column:
+def stated_summary(text: Column) -> Column:
     """The line that opens with a typical verb and up to 14 lines that follow, to a full stop, blank or structural line."""
+
+    def whole(lines: Column) -> Column:
+        opens = lambda x: ci(x, SUMMARY) & (F.length(x) > 20)
+        at = F.array_position(F.transform(lines, opens), True)
+        tail = F.slice(lines, (at + 1).cast("int"), F.lit(14))
+        stop = lambda x: (x == "") | ci(x, SUMMARY_END) | ci(x, NAVIGATION) | ci(x, D.LAW_START)
+
+        def joined(rest: Column) -> Column:
+            last = lambda marks, before: F.coalesce(F.nullif(F.array_position(marks, True), F.lit(0)) - before, F.size(rest).cast("bigint"))
+            n = F.least(last(F.transform(rest, stop), 1), last(F.transform(rest, lambda x: x.endswith(".")), 0)).cast("int")
+            return F.array_join(F.concat(F.slice(lines, at.cast("int"), F.lit(1)), F.slice(rest, F.lit(1), n)), " ")
+
+        return F.when(at > 0, F.get(F.transform(F.array(tail), joined), F.lit(0)))
+
+    return F.get(F.transform(F.array(F.transform(split_lines(text), strip)), whole), F.lit(0))
+
+
+def summary(text: Column, head: Column | None = None) -> Column:
+    """Summary stated in the raw head of a document, else in its text, else the text's first long plain line."""
     lines = F.transform(split_lines(text), strip)
-    at = first_match(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: ci(F.get(lines, i), SUMMARY) & (F.length(F.get(lines, i)) > 20), lambda i: i)
-    tail = F.slice(lines, at + 2, F.lit(14))
-    stop = lambda x: (x == "") | ci(x, SUMMARY_END) | ci(x, NAVIGATION) | ci(x, D.LAW_START)
-    before = first_match(F.sequence(F.lit(0), F.size(tail) - 1), lambda i: stop(F.get(tail, i)), lambda i: i)
-    ended = first_match(F.sequence(F.lit(0), F.size(tail) - 1), lambda i: F.get(tail, i).endswith("."), lambda i: i + 1)
-    n = F.least(F.coalesce(before, F.size(tail)), F.coalesce(ended, F.size(tail)))
-    joined = F.array_join(F.concat(F.array(F.get(lines, at)), F.when((F.size(tail) > 0) & (n > 0), F.slice(tail, F.lit(1), n)).otherwise(F.array().cast("array<string>"))), " ")
     plain = first_match(lines, lambda x: (F.length(x) > 60) & ~ci(x, NAVIGATION) & ~ci(x, D.LAW_START) & ~((F.upper(x) == x) & (F.lower(x) != x)), lambda x: x)
-    return F.when(F.size(lines) > 0, F.when(at.isNotNull(), joined).otherwise(plain))
+    return F.coalesce(*([stated_summary(head)] if head is not None else []), stated_summary(text), plain)
 
 
 def slug(value: Column, default: str = "norma") -> Column:
@@ -146,24 +153,39 @@ def slug_exact(df: DataFrame, column: str, out: str, default: str = "norma") ->
 
 
 def accounting_header(text: Column) -> Column:
-    """``(numero, revisao)`` of an accounting pronouncement: ``R2`` or ``Original``."""
-    n = F.coalesce(*[F.when(F.regexp_extract(text, p, 1) != "", F.regexp_extract(text, p, 1)) for p in (CPC_HEAD, NBC_HEAD)])
-    cpc = F.regexp_extract(text, CPC_HEAD, 1) != ""
-    r = F.when(cpc, F.regexp_extract(text, CPC_HEAD, 2)).otherwise(F.regexp_extract(text, NBC_HEAD, 2))
-    return F.struct(n.alias("numero"), F.when(n.isNotNull(), F.when(r != "", F.concat(F.lit("R"), r)).otherwise("Original")).alias("revisao"))
+    """``(tipo, numero, revisao)`` of an accounting norm, ``R2`` or ``Original``: a pronouncement's header, else an NBC TG's; null without either."""
+    def told(tipo: str, rx: str) -> Column:
+        r = F.regexp_extract(text, rx, 2)
+        revision = F.when(r != "", F.concat(F.lit("R"), r)).otherwise("Original")
+        return F.when(text.rlike(rx), F.struct(F.lit(tipo).alias("tipo"), F.regexp_extract(text, rx, 1).alias("numero"), revision.alias("revisao")))
+
+    return F.coalesce(told("CPC", CPC_START), told("NBC TG", NBC_START))
+
+
+def accounting_id(header: Column) -> Column:
+    """``CPC 20 (R1)``: type, number and, of a revised norm, its revision."""
+    revision = F.when(header["revisao"] != "Original", F.concat(F.lit(" ("), header["revisao"], F.lit(")"))).otherwise("")
+    return F.concat(header["tipo"], F.lit(" "), header["numero"], revision)
+
+
+def accounting_slugs(header: Column) -> Column:
+    """``(dir_slug, id_slug)``: a norm's folder does not name its revision, the ids of its units do."""
+    folder = slug(F.concat(header["tipo"], F.lit(" "), header["numero"]), "cpc")
+    return F.struct(folder.alias("dir_slug"), slug(accounting_id(header), "cpc").alias("id_slug"))
 
 
 def ifrs(text: Column) -> Column:
-    """Correlation with an international standard in the first 2,000 characters."""
-    found = F.regexp_extract(F.substring(text, 1, 2000), rf"(IAS|IFRS|IFRIC|SIC){D.S}+(\d+)", 0)
-    return F.when(found != "", found)
+    """The first international standard behind ``Correlação às Normas``, within the first 2,000 characters."""
+    head = F.substring(text, 1, 2000)
+    found = F.concat(F.upper(F.regexp_extract(head, CORRELATION, 1)), F.lit(" "), F.regexp_extract(head, CORRELATION, 2))
+    return F.when(head.rlike(CORRELATION), found)
 
 
 def nbc_title(text: Column) -> Column:
     """Title in capitals behind ``NBC TG n –``, n being the number of the first ``NBC TG`` of the text."""
     rx = F.concat(F.lit(f"NBC{D.S}+TG{D.S}+"), F.regexp_extract(text, NBC_START, 1), F.lit(rf"{D.S}*[–\-—]{D.S}*([{D.CAPS}][{D.CAPS} ,]{{5,100}})"))
     found = F.regexp_replace(strip(F.call_function("regexp_extract", text, rx, F.lit(1))), ",+$", "")
-    return F.when(text.rlike(NBC_START) & (found != ""), title_case(found, TITLE_LOWER))
+    return F.when(text.rlike(NBC_START) & (found != ""), title_case(found))
 
 
 def nbc_summary(text: Column) -> Column:
@@ -208,7 +230,7 @@ def title(text: Column, tail: int = 800) -> Column:
     words = lambda x: F.filter(F.split(x, f"{D.S}+"), lambda w: w != "")
     capital = lambda x: F.size(F.filter(words(x), lambda w: w.rlike(r"^\p{IsUppercase}")))
     mostly = first_match(free, lambda x: (F.length(x) > 15) & (F.size(words(x)) >= 3) & (capital(x) >= F.size(words(x)) * 0.6), lambda x: x)
-    found = F.when(F.size(lines) > 0, F.coalesce(title_case(caps, TITLE_LOWER), title_case(short, TITLE_LOWER), mostly))
+    found = F.when(F.size(lines) > 0, F.coalesce(title_case(caps), title_case(short), mostly))
     return F.when(cpc, found).when(text.rlike(NBC_START), F.coalesce(nbc_title(text), found))
 
 
@@ -217,7 +239,7 @@ def title_case(text: Column, small: Sequence[str] = SMALL_WORDS) -> Column:
     last lower-case letter or digit (a note's mark) goes."""
     def word(w: Column, i: Column) -> Column:
         low = F.lower(w)
-        return F.when((i > 0) & low.isin(*small), low).otherwise(F.concat(F.upper(F.left(low, F.lit(1))), F.substring(low, 2, 1_000_000)))
+        return F.when((i > 0) & low.isin(*small), low).otherwise(F.concat(F.upper(F.left(low, F.lit(1))), F.substr(low, F.lit(2))))
 
     text = F.regexp_replace(strip(text), rf"^(.{{4,}}{D.NOT_S}){D.S}+[a-z0-9]$", "$1")
     return F.array_join(F.transform(F.filter(F.split(text, f"{D.S}+"), lambda w: w != ""), word), " ")

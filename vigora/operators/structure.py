@@ -21,26 +21,35 @@ def in_order(column: Column) -> Column:
 
 
 def numbered_lines(docs: DataFrame) -> DataFrame:
-    """``(doc_id, line_no, line)``, lines stripped; documents of a null id are left out."""
+    """``(doc_id, line_no, line)`` of documents that are one text, lines stripped; those of a null id are left out.
+
+    Documents of several pages come as the same rows from ``lines.clean_lines``.
+    """
     placed = docs.where(F.col("doc_id").isNotNull())
     return placed.select("doc_id", F.posexplode(split_lines("text")).alias("line_no", "raw")).select("doc_id", "line_no", strip("raw").alias("line"))
 
 
 def classify_law(lines: DataFrame) -> DataFrame:
-    """Adds ``kind``: annex, division, article, body, blank, or skipped (within an annex)."""
-    annex, division = ci(F.col("line"), D.ANNEX), ci(F.col("line"), D.DIVISION)
-    header = F.col("line").rlike(D.ARTICLE)
-    rest = strip(F.regexp_extract("line", D.ARTICLE, 2))
-    mode = in_order(F.last(F.when(annex, 1).when(division | header, 0), ignorenulls=True))
+    """Adds ``kind``: annex, division, article, body, blank, or skipped (within an annex); ``number`` and ``rest`` of an article."""
+    line = F.col("line")
+    head = line.startswith("Art") & line.rlike(D.ARTICLE)
+    told = lines.select(
+        "*",
+        F.when(ci(line, D.ANNEX), "annex").when(ci(line, D.DIVISION), "division").when(head, "article").alias("_h"),
+    )
+    rest = strip(F.regexp_extract(line, D.ARTICLE, 2))
+    seen = told.withColumn("rest", F.when(F.col("_h") == "article", rest))
+    mode = in_order(F.last(F.when(F.col("_h") == "annex", 1).when(F.col("_h").isNotNull(), 0), ignorenulls=True))
     kind = (
-        F.when(annex, "annex")
+        F.when(F.col("_h") == "annex", "annex")
         .when(F.coalesce(mode, F.lit(0)) == 1, "skipped")
-        .when(F.col("line") == "", "blank")
-        .when(division & (F.length("line") < 120), "division")
-        .when(header & ~rest.rlike(D.REF_TAIL), "article")
+        .when(line == "", "blank")
+        .when((F.col("_h") == "division") & (F.length("line") < 120), "division")
+        .when((F.col("_h") == "article") & ~F.col("rest").rlike(D.REF_TAIL), "article")
         .otherwise("body")
     )
-    return lines.withColumn("kind", kind)
+    number = F.when(F.col("kind") == "article", plain_number(F.regexp_extract("line", D.ARTICLE, 1)))
+    return seen.withColumn("kind", kind).drop("_h").withColumn("number", number)
 
 
 def level_of(line: Column) -> Column:
@@ -71,9 +80,9 @@ def refs(text: Column, own: Column) -> Column:
     return F.array_sort(F.array_distinct(F.filter(found, lambda r: r != F.concat(F.lit("art-"), own))))
 
 
-def law_units(docs: DataFrame) -> DataFrame:
-    """``(doc_id, pos, numero, breadcrumb, texto, notas, refs, vigente, anterior)``: one row per article."""
-    lines = classify_law(numbered_lines(docs))
+def law_units(lines: DataFrame) -> DataFrame:
+    """``(doc_id, pos, numero, breadcrumb, texto, notas, refs, vigente, anterior)``: one row per article of rows of lines."""
+    lines = classify_law(lines)
     level = F.when(F.col("kind") == "division", level_of(F.col("line")))
     crumbs = [
         in_order(F.last(F.when(level == k, F.struct(F.col("line_no").alias("at"), F.col("line").alias("t"))), ignorenulls=True))
@@ -89,9 +98,9 @@ def law_units(docs: DataFrame) -> DataFrame:
     above = lambda k: F.greatest(*[F.coalesce(F.col(f"c{j}.at"), F.lit(-1)) for j in range(1, k)], F.lit(-1), F.lit(-1))
     crumb = F.concat_ws(" > ", *[F.when(F.col(f"c{k}.at") > above(k), F.col(f"c{k}.t")) for k in range(1, 6)])
     head = F.col("kind") == "article"
-    text = F.when(head, strip(F.regexp_extract("line", D.ARTICLE, 2))).otherwise(F.col("line"))
+    text = F.when(head, F.col("rest")).otherwise(F.col("line"))
     units = held.groupBy("doc_id", "pos").agg(
-        F.max(F.when(head, plain_number(F.regexp_extract("line", D.ARTICLE, 1)))).alias("numero"),
+        F.max("number").alias("numero"),
         F.max(F.when(head, crumb)).alias("breadcrumb"),
         F.array_sort(F.collect_list(F.struct("line_no", text.alias("t")))).alias("l"),
     )
@@ -158,56 +167,108 @@ def body_markdown(caput: Column, units: Column) -> Column:
     return strip(F.array_join(F.concat(F.filter(F.array(caput), lambda x: x != ""), F.transform(units, line)), "\n"))
 
 
+#: Kinds of items, letters and the like with their patterns, in the order in which they are tried; the places of
+#: appendix, number and text in each.
+ACCOUNTING_RULES = (
+    (f"(?iu){D.APPENDIX}", "appendix", 1, 0, 2), (D.ITEM_APPENDIX_DEEP, "item", 1, 2, 3), (D.ITEM_APPENDIX, "item", 1, 2, 3),
+    (D.ITEM_DEEP, "item", 0, 1, 2), (D.ITEM, "item", 0, 1, 2), (D.ITEM_P, "item", 0, 1, 2), (D.ALINEA, "alinea", 0, 1, 2),
+    (D.SUBITEM, "subitem", 0, 1, 2),
+)
+
+
 def classify_accounting(line: Column, known: Column) -> Column:
     """``(kind, number, appendix, text)`` of a line, the first that fits of an ordered list; ``known``: it names a known section."""
     none = F.lit(None).cast("string")
-    g = lambda p, i: F.regexp_extract(line, p, i)
     row = lambda kind, number, appendix, text: F.struct(F.lit(kind).alias("kind"), number.alias("number"), appendix.alias("appendix"), strip(text).alias("text"))
-    appendix = f"(?iu){D.APPENDIX}"
+
+    def fitting(rule: tuple[str, str, int, int, int]) -> Column:
+        pattern, kind, letter, number, text = rule
+        part = lambda i: F.regexp_extract(line, pattern, i)
+        shown = none if not number else F.concat(part(letter), part(number)) if letter else part(number)
+        return row(kind, shown, part(letter) if letter else none, part(text))
+
     caps = line.rlike(D.SECTION) & F.length(line).between(3, 100)
-    return (
-        F.when(line == "", row("blank", none, none, F.lit("")))
-        .when(line.rlike(appendix), row("appendix", none, g(appendix, 1), g(appendix, 2)))
-        .when(line.rlike(D.ITEM_APPENDIX_DEEP), row("item", F.concat(g(D.ITEM_APPENDIX_DEEP, 1), g(D.ITEM_APPENDIX_DEEP, 2)), g(D.ITEM_APPENDIX_DEEP, 1), g(D.ITEM_APPENDIX_DEEP, 3)))
-        .when(line.rlike(D.ITEM_APPENDIX), row("item", F.concat(g(D.ITEM_APPENDIX, 1), g(D.ITEM_APPENDIX, 2)), g(D.ITEM_APPENDIX, 1), g(D.ITEM_APPENDIX, 3)))
-        .when(line.rlike(D.ITEM_DEEP), row("item", g(D.ITEM_DEEP, 1), none, g(D.ITEM_DEEP, 2)))
-        .when(line.rlike(D.ITEM), row("item", g(D.ITEM, 1), none, g(D.ITEM, 2)))
-        .when(line.rlike(D.ITEM_P), row("item", g(D.ITEM_P, 1), none, g(D.ITEM_P, 2)))
-        .when(line.rlike(D.ALINEA), row("alinea", g(D.ALINEA, 1), none, g(D.ALINEA, 2)))
-        .when(line.rlike(D.SUBITEM), row("subitem", g(D.SUBITEM, 1), none, g(D.SUBITEM, 2)))
-        .when(caps | (known & F.length(line).between(3, 80)), row("section", none, none, line))
-        .otherwise(row("text", none, none, line))
-    )
+    out = F.when(line == "", row("blank", none, none, F.lit("")))
+    for rule in ACCOUNTING_RULES:
+        out = out.when(line.rlike(rule[0]), fitting(rule))
+    out = out.when(caps | (known & F.length(line).between(3, 80)), row("section", none, none, line))
+    return out.otherwise(row("text", none, none, line))
 
 
-def accounting_lines(docs: DataFrame, sections: DataFrame) -> DataFrame:
+def accounting_lines(lines: DataFrame, sections: DataFrame) -> DataFrame:
     """``(doc_id, line_no, kind, number, appendix, text)``; ``sections`` lists known section names (column ``name``)."""
     names = sections.where(F.col("name").isNotNull()).select(F.lower("name").alias("_name")).distinct()
-    lines = numbered_lines(docs)
     marked = lines.join(names, F.lower("line") == F.col("_name"), "left")
     told = marked.select("doc_id", "line_no", classify_accounting(F.col("line"), F.col("_name").isNotNull()).alias("c"))
     return told.select("doc_id", "line_no", "c.*")
 
 
-def accounting_units(docs: DataFrame, sections: DataFrame) -> DataFrame:
-    """``(doc_id, pos, numero, secao, apendice, texto, alineas, subitens, notas, refs, vigente, anterior)`` per item.
+def accounting_state(lines: DataFrame, sections: DataFrame) -> DataFrame:
+    """Adds to the told lines the section they stand in (``secao``), the letter of their appendix and the item they belong to.
 
-    A section that is no appendix ends the appendix before it. Of several wordings of an item, some are
-    superseded only if one carries a mark of revision: the last marked one is then current.
+    A section that is no appendix ends the appendix before it; lines before the first section stand in the first one's default.
     """
-    lines = accounting_lines(docs, sections)
+    told = accounting_lines(lines, sections)
     kind = F.col("kind")
     label = F.concat(F.lit("APÊNDICE "), F.col("appendix"), F.when(F.col("text") != "", F.concat(F.lit(" – "), F.col("text"))).otherwise(""))
     section = in_order(F.last(F.when(kind == "section", F.col("text")).when(kind == "appendix", label), ignorenulls=True))
     ends = ~F.upper("text").startswith("APÊNDICE") & ~F.upper("text").startswith("APENDICE")
     letter = in_order(F.last(F.when(kind == "appendix", F.col("appendix")).when((kind == "section") & ends, ""), ignorenulls=True))
-    state = lines.select(
+    return told.select(
         "*",
         F.coalesce(section, F.lit(D.FIRST_SECTION)).alias("secao"),
         letter.alias("_letter"),
         in_order(F.sum((kind == "item").cast("int"))).alias("pos"),
         in_order(F.last(F.when(kind == "item", 1).when(kind.isin("section", "appendix"), 0), ignorenulls=True)).alias("open"),
     )
+
+
+def accounting_sections(lines: DataFrame, sections: DataFrame) -> DataFrame:
+    """``(doc_id, secao, at)``: the sections and appendices of each document, by their first line, with or without items."""
+    heads = accounting_state(lines, sections).where(F.col("kind").isin("section", "appendix"))
+    return heads.groupBy("doc_id", "secao").agg(F.min("line_no").alias("at"))
+
+
+def accounting_counts(units: DataFrame, heads: DataFrame) -> DataFrame:
+    """Counts of each document: of appendix items and letters only those that hold; sections also without an item."""
+    holds = F.col("vigente")
+    counted = units.groupBy("doc_id").agg(
+        F.count("*").alias("n_itens"), F.count_if(holds).alias("n_itens_vigentes"),
+        F.count_if(holds & F.col("apendice").isNotNull()).alias("n_itens_apendice"), F.count_if(~holds).alias("n_redacoes_anteriores"),
+        F.coalesce(F.sum(F.when(holds, F.size("alineas"))), F.lit(0)).cast("bigint").alias("n_alineas"),
+    )
+    listed = heads.groupBy("doc_id").agg(F.count("*").alias("n_secoes"), F.array_sort(F.collect_list(F.struct("at", "secao"))).alias("s"))
+    named = listed.select("doc_id", "n_secoes", F.transform("s", lambda x: x["secao"]).alias("secoes"))
+    both = counted.join(named, "doc_id", "left")
+    return both.withColumn("n_secoes", F.coalesce("n_secoes", F.lit(0))).withColumn("secoes", F.coalesce("secoes", F.array().cast("array<string>")))
+
+
+def item_ref(number: Column) -> Column:
+    return F.concat(F.lit("item-"), F.lower(number))
+
+
+def item_lines(texto: Column, alineas: Column, subitens: Column, letter: str, roman: str) -> Column:
+    """Text of an item, then its letters and its roman numbers, each on a line of its own form."""
+    shown = lambda c, form: F.transform(c, lambda x: F.format_string(form, x["label"], x["text"]))
+    return strip(F.array_join(F.concat(F.array(strip(texto)), shown(alineas, letter), shown(subitens, roman)), "\n"))
+
+
+def item_text(texto: Column, alineas: Column, subitens: Column) -> Column:
+    return item_lines(texto, alineas, subitens, "(%s) %s", "(%s) %s")
+
+
+def item_markdown(texto: Column, alineas: Column, subitens: Column) -> Column:
+    return item_lines(texto, alineas, subitens, "  - **(%s)** %s", "    - **(%s)** %s")
+
+
+def accounting_units(lines: DataFrame, sections: DataFrame) -> DataFrame:
+    """``(doc_id, pos, numero, secao, apendice, texto, alineas, subitens, notas, refs, vigente, anterior)`` per item.
+
+    Of several wordings of an item, some are
+    superseded only if one carries a mark of revision: the last marked one is then current.
+    """
+    state = accounting_state(lines, sections)
+    kind = F.col("kind")
     held = state.where((F.col("open") == 1) & ~kind.isin("section", "appendix"))
     head = kind == "item"
     part = lambda k: F.array_sort(F.collect_list(F.when(kind == k, F.struct("line_no", F.col("number").alias("label"), "text"))))
@@ -222,7 +283,7 @@ def accounting_units(docs: DataFrame, sections: DataFrame) -> DataFrame:
     full = units.select("doc_id", "pos", F.col("h.number").alias("numero"), "h.secao", "h.apendice", texto.alias("texto"), bare("alineas").alias("alineas"), bare("subitens").alias("subitens"))
     named = F.regexp_extract_all("texto", F.lit(f"(?iu){D.ITEM_REF}"), F.lit(1))
     own = F.array_sort(F.array_distinct(F.filter(named, lambda r: r != F.col("numero"))))
-    items = F.transform(own, lambda r: F.concat(F.lit("item-"), F.lower(r)))
+    items = F.transform(own, item_ref)
     full = full.select("*", notes(F.col("texto"), D.ACCOUNTING_NOTE).alias("notas"), items.alias("refs"))
     revised = ci(F.col("texto"), D.REVISED)
     same = W.partitionBy("doc_id", "numero", "apendice")

@@ -237,14 +237,6 @@ def v4_broken_json(spark: SparkSession, d: str) -> DataFrame:
     return V.broken_json(table(spark, d, "raw_record")).select("rec_id", "feed", "file_no")
 
 
-def v5_front_matter(spark: SparkSession, d: str) -> DataFrame:
-    from vigora.operators.metadata import slug
-
-    metas = table(spark, d, "norm_meta").where("identificador IS NOT NULL")
-    docs = metas.select(slug(F.col("identificador")).alias("slug"), R.front_matter(metas).alias("markdown")).distinct()
-    return V.front_matter_differs(docs, metas)
-
-
 def v6_missing_annexes(spark: SparkSession, d: str) -> DataFrame:
     return V.missing_annexes(table(spark, d, "chunk"), table(spark, d, "annex_cell"))
 
@@ -265,7 +257,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         c1_code_keys, c2_flip, c2_flipped, c3_status, c4_by_subject, c5_first_subject, c6_leftovers, c7_chronological, c8_coverage, c9_by_family,
         c10_pronouncements, c11_blocks, c12_exceptions, r2_annex_index, r7_table_lines, x1_norm_units, x2_current, x3_citation, x4_wordings, x5_follow_refs,
         x6_correspondence, x7_chains, x8_prefixes, x9_articles, x10_valid_on, x11_snapshot_diff, x12_search, x19_router, x20_subjects, x21_state_at,
-        v1_counts, v2_repeated_ids, v4_broken_json, v5_front_matter, v6_missing_annexes, v7_sanity, v7_mojibake,
+        v1_counts, v2_repeated_ids, v4_broken_json, v6_missing_annexes, v7_sanity, v7_mojibake,
     )
 }
 
