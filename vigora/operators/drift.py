@@ -1,8 +1,11 @@
 """Schemas that drift between the files of a feed.
 
-File headers (which fields a file has, with the JSON type of their non-null values) are read in
-parallel, folded through a type-promotion lattice into one schema per feed, files are cast to it, and
-the ordered differences between consecutive files are logged.
+File headers (which fields a file has, with the types of their non-null values) are read in parallel, folded
+through a type-promotion lattice into one schema per feed, files are cast to it, and the ordered differences
+between consecutive files are logged.
+
+Bodies are parsed once for the headers, which are combined map-side; only the records of files in which a field
+comes while another goes are read again for their values, and of these only the fields in question.
 
 Defined results
 ---------------
@@ -10,8 +13,10 @@ Defined results
   no valid record has no header and is passed over;
 * rows with a null feed or file number are left out; an empty input gives empty results;
 * a record delivered twice in a file counts once (the last delivered one, then the last line);
-* several types in one file: the most frequent one, then the first by name;
-* a renamed field keeps its last known type under its new name.
+* several JSON types in one file: the most frequent one, then the first by name;
+* a renamed field keeps its last known type under its new name; two fields that end under one name keep apart, the one
+  seen last has the name, the others are named ``name@origin``;
+* a value that does not fit the union type is null in the typed table (there is none: the type is a bound of all values).
 """
 
 from __future__ import annotations
@@ -25,8 +30,14 @@ from pyspark.sql import functions as F
 
 from vigora.sources.tables import cut_lineage
 
-#: Lattice of JSON types: a pair not listed joins at ``string``; equal types stay, ``null`` is the bottom.
+#: JSON types in the order that decides between equally frequent ones.
 KINDS = ("boolean", "number", "string", "list", "object")
+#: Chains of the lattice: a type goes up its chain to the first that holds all values; beyond a chain it is ``string``.
+CHAINS = (("integer", "decimal", "double"), ("date", "timestamp"))
+DATE = r"^\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])$"
+TIMESTAMP = r"^\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])[T ](?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d{1,6})?)?$"
+#: Types of the lattice as they stand in a table.
+SQL_TYPES = {"integer": "bigint", "decimal": "decimal(38,10)", "double": "double", "date": "date", "timestamp": "timestamp_ntz", "boolean": "boolean", "string": "string", "object": "variant"}
 
 
 def json_kind(schema: Column) -> Column:
@@ -42,10 +53,54 @@ def json_kind(schema: Column) -> Column:
     )
 
 
+def scalar_type(schema: Column, text: Column) -> Column:
+    """Lattice type of a scalar by its variant schema; of a string by its ``text``."""
+    head = F.regexp_extract(schema, "^[A-Z]+", 0)
+    dated = F.when(text.rlike(DATE), "date").when(text.rlike(TIMESTAMP), "timestamp").otherwise("string")
+    return (
+        F.when(head == "VOID", F.lit(None).cast("string"))
+        .when(head == "STRING", dated)
+        .when(head == "BOOLEAN", "boolean")
+        .when(head == "BIGINT", "integer")
+        .when(head == "DECIMAL", "decimal")
+        .when(head == "OBJECT", "object")
+        .when(head == "ARRAY", "string")
+        .otherwise("double")
+    )
+
+
+def lattice_type(value: Column) -> Column:
+    """Lattice type of a variant: a scalar's, or ``list<t>`` of the join of its elements' types; null for a JSON null."""
+    schema = F.schema_of_variant(value)
+    items = F.try_variant_get(value, "$", "array<variant>")
+    each = F.transform(items, lambda v: scalar_type(F.schema_of_variant(v), F.try_variant_get(v, "$", "string")))
+    return F.when(schema.startswith("ARRAY"), F.concat(F.lit("list<"), promote_scalars(each), F.lit(">"))).otherwise(
+        scalar_type(schema, F.try_variant_get(value, "$", "string"))
+    )
+
+
+def promote_scalars(kinds: Column) -> Column:
+    """Least upper bound of an array of scalar types; of none it is ``string``."""
+
+    def bound(known: Column) -> Column:
+        out = F.when(F.size(known) == 0, F.lit("string")).when(F.size(known) == 1, F.get(known, F.lit(0)))
+        for chain in CHAINS:
+            top = F.lit(chain[0])
+            for k in chain[1:]:
+                top = F.when(F.array_contains(known, k), k).otherwise(top)
+            out = out.when(F.size(F.array_except(known, F.array(*[F.lit(k) for k in chain]))) == 0, top)
+        return out.otherwise("string")
+
+    return F.get(F.transform(F.array(F.array_distinct(F.array_compact(kinds))), bound), F.lit(0))
+
+
 def promote(kinds: Column) -> Column:
-    """Least upper bound of an array of JSON types: the type itself if there is one, else ``string``."""
-    known = F.array_distinct(F.array_compact(kinds))
-    return F.when(F.size(known) == 0, F.lit("string")).when(F.size(known) == 1, F.get(known, F.lit(0))).otherwise("string")
+    """Least upper bound of an array of lattice types: lists join by element, a list and a scalar at ``string``."""
+    known = F.array_compact(kinds)
+    lists = F.filter(known, lambda k: k.startswith("list<"))
+    inside = F.transform(lists, lambda k: F.regexp_extract(k, "^list<(.*)>$", 1))
+    whole = (F.size(known) > 0) & (F.size(lists) == F.size(known))
+    return F.when(whole, F.concat(F.lit("list<"), promote_scalars(inside), F.lit(">"))).otherwise(promote_scalars(known))
 
 
 def records(raw: DataFrame, keys: tuple[str, ...] = ("ITEM", "id")) -> DataFrame:
@@ -56,72 +111,62 @@ def records(raw: DataFrame, keys: tuple[str, ...] = ("ITEM", "id")) -> DataFrame
     return valid.select("feed", "file_no", "rec_id", "line_no", "delivered_at", rec_key.alias("rec_key"), F.col("_v").alias("body"))
 
 
-def cells(recs: DataFrame) -> DataFrame:
-    """One row per record and field, with the JSON type (null for a JSON null) and the value as JSON text."""
-    fields = recs.sparkSession.tvf.variant_explode(F.col("body").outer())
-    flat = recs.lateralJoin(fields).withColumnRenamed("key", "field")
-    return flat.select(
-        "feed", "file_no", "rec_id", "line_no", "delivered_at", "rec_key", "field",
-        json_kind(F.schema_of_variant("value")).alias("kind"), F.to_json("value").alias("value"),
-    )
+def fields_of(body: Column) -> Column:
+    """Fields of an object as an array of ``(key, value)``, values as variants."""
+    return F.map_entries(F.try_variant_get(body, "$", "map<string,variant>"))
+
 
+def headers(recs: DataFrame) -> DataFrame:
+    """``(feed, file_no, field, kind, types)``: the fields of each file, their JSON type and their lattice types.
 
-def headers(flat: DataFrame) -> DataFrame:
-    """``(feed, file_no, field, kind)``: the fields of each file; combined map-side, so hot feeds stay small."""
-    counted = flat.groupBy("feed", "file_no", "field", "kind").agg(F.count("*").alias("n"))
+    Combined map-side, so hot feeds stay small.
+    """
+    flat = recs.select("feed", "file_no", F.explode(fields_of(F.col("body"))).alias("e"))
+    told = flat.select("feed", "file_no", F.col("e.key").alias("field"), json_kind(F.schema_of_variant("e.value")).alias("kind"), lattice_type(F.col("e.value")).alias("type"))
+    counted = told.groupBy("feed", "file_no", "field", "kind", "type").agg(F.count("*").alias("n"))
+    by_kind = counted.groupBy("feed", "file_no", "field", "kind").agg(F.sum("n").alias("n"), F.collect_set("type").alias("types"))
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
     best = F.max(F.when(F.col("kind").isNotNull(), F.struct("n", (-rank).alias("o"), "kind")))
-    return counted.groupBy("feed", "file_no", "field").agg(best.alias("b")).select("feed", "file_no", "field", "b.kind")
+    every = F.array_distinct(F.flatten(F.collect_list("types")))
+    return by_kind.groupBy("feed", "file_no", "field").agg(best.alias("b"), every.alias("types")).select("feed", "file_no", "field", "b.kind", "types")
 
 
-def comings_and_goings(header: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Fields that come (``field``, new in ``file_no``) and go (``old``, last in ``prev_no``), per file."""
-    files = header.select("feed", "file_no").distinct()
+def files_of(header: DataFrame) -> DataFrame:
+    """``(feed, file_no, prev_no, came, went)`` of the files in which fields come while others go against the file before."""
+    held = header.groupBy("feed", "file_no").agg(F.collect_set("field").alias("now"))
     order = W.partitionBy("feed").orderBy("file_no")
-    files = files.select("feed", "file_no", F.lag("file_no").over(order).alias("prev_no"), F.lead("file_no").over(order).alias("next_no"))
-    own = W.partitionBy("feed", "field").orderBy("file_no")
-    seen = header.join(files, ["feed", "file_no"]).select(
-        "*", F.lag("file_no").over(own).alias("_before"), F.lead("file_no").over(own).alias("_after")
-    )
-    come = seen.where(F.col("prev_no").isNotNull() & ~F.col("_before").eqNullSafe(F.col("prev_no")))
-    go = seen.where(F.col("next_no").isNotNull() & ~F.col("_after").eqNullSafe(F.col("next_no")))
-    return (
-        come.select("feed", "file_no", "prev_no", "field"),
-        go.select("feed", F.col("next_no").alias("file_no"), F.col("field").alias("old")),
-    )
+    both = held.select("feed", "file_no", "now", F.lag("file_no").over(order).alias("prev_no"), F.lag("now").over(order).alias("before"))
+    told = both.where("prev_no IS NOT NULL").select("feed", "file_no", "prev_no", F.array_except("now", "before").alias("came"), F.array_except("before", "now").alias("went"))
+    return told.where((F.size("came") > 0) & (F.size("went") > 0))
 
 
-def renames(flat: DataFrame, header: DataFrame, share: float = 0.8) -> DataFrame:
+def renames(recs: DataFrame, header: DataFrame, share: float = 0.8) -> DataFrame:
     """``(feed, file_no, old, field)``: a field that goes while another comes with the same values.
 
     Only the values of fields that come or go are compared, record by record; a pair stands if it is
     the best of both its fields (then the first by name).
     """
-    come, go = comings_and_goings(header)
-    pairs = come.join(go, ["feed", "file_no"])
-    last = F.max(F.struct("delivered_at", "line_no", "rec_id", "kind", "value")).alias("r")
-    keyed = flat.where(F.col("rec_key").isNotNull())
-    old_cells = (
-        keyed.join(pairs.select("feed", F.col("prev_no").alias("file_no"), F.col("old").alias("field")).distinct(),
-                   ["feed", "file_no", "field"], "left_semi")
-        .groupBy("feed", F.col("file_no").alias("prev_no"), F.col("field").alias("old"), "rec_key").agg(last)
-        .where(F.col("r.kind").isNotNull()).select("feed", "prev_no", "old", "rec_key", F.col("r.value").alias("was"))
-    )
-    new_cells = (
-        keyed.join(pairs.select("feed", "file_no", "field").distinct(), ["feed", "file_no", "field"], "left_semi")
-        .groupBy("feed", "file_no", "field", "rec_key").agg(last)
-        .select("feed", "file_no", "field", "rec_key", F.col("r.value").alias("now"))
-    )
-    present = keyed.join(pairs.select("feed", "file_no").distinct(), ["feed", "file_no"], "left_semi")
-    present = present.select("feed", "file_no", "rec_key").distinct()
-    compared = (
-        pairs.join(old_cells, ["feed", "prev_no", "old"])
-        .join(present, ["feed", "file_no", "rec_key"])
-        .join(new_cells, ["feed", "file_no", "field", "rec_key"], "left")
-        .groupBy("feed", "file_no", "old", "field")
-        .agg(F.avg(F.coalesce(F.col("was") == F.col("now"), F.lit(False)).cast("double")).alias("equal"))
-        .where(F.col("equal") >= share)
+    changed = cut_lineage(files_of(header))
+    keyed = recs.where(F.col("rec_key").isNotNull())
+    read = lambda plan, names: F.transform(
+        F.filter(fields_of(F.col("body")), lambda e: F.array_contains(names, e["key"])),
+        lambda e: F.struct(e["key"].alias("f"), F.when(F.schema_of_variant(e["value"]) != "VOID", F.xxhash64(F.to_json(e["value"]))).alias("h")),
     )
+    last = F.max(F.struct("delivered_at", "line_no", "rec_id", "cells"))
+
+    def side(at: str, names: str) -> DataFrame:
+        """The last delivered record of each key of the files in question, with the fields in question."""
+        plan = changed.select("feed", F.col(at).alias("file_no"), F.col("file_no").alias("_to"), F.col(names).alias("_names"))
+        placed = keyed.join(plan, ["feed", "file_no"]).select("feed", "_to", "rec_key", "delivered_at", "line_no", "rec_id", read(plan, F.col("_names")).alias("cells"))
+        return placed.groupBy("feed", "_to", "rec_key").agg(last.alias("r")).select("feed", F.col("_to").alias("file_no"), "rec_key", F.col("r.cells").alias(names))
+
+    both = side("prev_no", "went").join(side("file_no", "came"), ["feed", "file_no", "rec_key"])
+    was = F.filter("went", lambda o: o["h"].isNotNull())
+    said = changed.select("feed", "file_no", F.col("came").alias("_came"))
+    met = both.select("feed", "file_no", "came", F.explode(was).alias("o")).join(said, ["feed", "file_no"])
+    each = met.select("feed", "file_no", "o", "came", F.explode("_came").alias("field"))
+    equal = F.exists("came", lambda n: (n["f"] == F.col("field")) & (n["h"] == F.col("o.h")))
+    compared = each.groupBy("feed", "file_no", F.col("o.f").alias("old"), "field").agg(F.avg(F.coalesce(equal, F.lit(False)).cast("double")).alias("equal")).where(F.col("equal") >= share)
     best_old = W.partitionBy("feed", "file_no", "old").orderBy(F.desc("equal"), "field")
     best_new = W.partitionBy("feed", "file_no", "field").orderBy(F.desc("equal"), "old")
     ranked = compared.select("*", F.row_number().over(best_old).alias("_o"), F.row_number().over(best_new).alias("_n"))
@@ -190,43 +235,87 @@ def _batch(out: dict[str, list]) -> pa.RecordBatch:
     return made
 
 
-def lineage(flat: DataFrame) -> DataFrame:
-    """Ordered changes (``change`` set) and, per file and field, the type and the field's lineage (``change`` null)."""
-    header = cut_lineage(headers(flat))
-    named = header.join(renames(flat, header), ["feed", "file_no", "field"], "left")
+def lineage(recs: DataFrame) -> DataFrame:
+    """Ordered changes (``change`` set) and, per file and field, the JSON type, the lattice types and the field's lineage (``change`` null)."""
+    header = cut_lineage(headers(recs))
+    named = header.join(renames(recs, header), ["feed", "file_no", "field"], "left")
     ordered = named.select("feed", F.col("file_no").cast("int").alias("file_no"), "field", "kind", "old")
-    return ordered.repartition("feed").sortWithinPartitions("feed", "file_no", "field").mapInArrow(_fold, LINEAGE)
+    folded = ordered.repartition("feed").sortWithinPartitions("feed", "file_no", "field").mapInArrow(_fold, LINEAGE)
+    return folded.join(header.select("feed", "file_no", "field", "types"), ["feed", "file_no", "field"], "left")
 
 
 def changes(raw: DataFrame) -> DataFrame:
     """``(feed, file_no, change, field)``: every change of a file against the file before it."""
-    return lineage(cells(records(raw))).where(F.col("change").isNotNull()).select("feed", "file_no", "change", "field")
+    return lineage(records(raw)).where(F.col("change").isNotNull()).select("feed", "file_no", "change", "field")
 
 
 def union_schema(lines: DataFrame) -> DataFrame:
-    """``(feed, lineage, name, kind)``: each field under its latest name with the join of its types."""
-    return (
-        lines.where(F.col("change").isNull())
-        .groupBy("feed", "lineage")
-        .agg(F.max_by("field", F.struct("file_no", "field")).alias("name"), promote(F.collect_set("kind")).alias("kind"))
-    )
+    """``(feed, lineage, name, kind)``: each field under its latest name, unique within its feed, with the join of its types."""
+    last = F.max(F.struct("file_no", "field")).alias("last")
+    fields = lines.where(F.col("change").isNull()).groupBy("feed", "lineage").agg(last, promote(F.array_distinct(F.flatten(F.collect_set("types")))).alias("kind"))
+    newest = W.partitionBy("feed", "last.field").orderBy(F.desc("last.file_no"), "lineage")
+    ranked = fields.withColumn("_n", F.row_number().over(newest))
+    name = F.when(F.col("_n") == 1, F.col("last.field")).otherwise(F.concat("last.field", F.lit("@"), "lineage"))
+    return ranked.select("feed", "lineage", name.alias("name"), "kind")
+
+
+def typed_text(value: Column, to: Column) -> Column:
+    """A variant as the text of its union type: a string as it is, everything else as JSON."""
+    plain = F.try_variant_get(value, "$", "string")
+    return F.when((to == "string") & F.schema_of_variant(value).isin("STRING"), plain).when(to.isin("date", "timestamp"), plain).otherwise(F.to_json(value))
+
+
+def cells(recs: DataFrame, lines: DataFrame) -> DataFrame:
+    """``(rec_id, feed, file_no, line_no, rec_key, name, kind, value)``: every value of every record under its latest name, as text of its union type.
+
+    A JSON null is a null value; a field that a record lacks has no row.
+    """
+    schema = union_schema(lines)
+    naming = lines.where(F.col("change").isNull()).select("feed", "file_no", "field", "lineage").join(schema, ["feed", "lineage"]).drop("lineage")
+    flat = recs.select("rec_id", "feed", "file_no", "line_no", "rec_key", F.explode(fields_of(F.col("body"))).alias("e"))
+    value = F.when(F.schema_of_variant("e.value") != "VOID", typed_text(F.col("e.value"), F.col("kind")))
+    return flat.withColumn("field", F.col("e.key")).join(naming, ["feed", "file_no", "field"]).select("rec_id", "feed", "file_no", "line_no", "rec_key", "name", "kind", value.alias("value"))
 
 
 def unify(raw: DataFrame) -> DataFrame:
-    """One consistent table of all records: ``(rec_id, feed, file_no, line_no, rec_key, fields)``.
+    """One consistent table of all records of all feeds: ``(rec_id, feed, file_no, line_no, rec_key, fields)``.
 
-    ``fields`` maps the latest name of each field to its value cast to the union type: plain text for a
-    string, JSON text for the other types; a field that a record lacks is not in the map.
+    ``fields`` maps the latest name of each field to its text in the union type; ``feed_table`` gives typed columns.
     """
     recs = records(raw)
-    flat = cells(recs)
-    lines = cut_lineage(lineage(flat))
-    schema = union_schema(lines)
-    naming = lines.where(F.col("change").isNull()).select("feed", "file_no", "field", "lineage").join(schema, ["feed", "lineage"])
-    naming = naming.select("feed", "file_no", "field", "name", F.col("kind").alias("to_kind"))
-    plain = F.when(F.col("kind").isNull(), F.lit(None).cast("string")).when(
-        (F.col("kind") == "string") & (F.col("to_kind") == "string"), F.try_variant_get(F.try_parse_json("value"), "$", "string")
-    ).otherwise(F.col("value"))
-    cast = flat.join(naming, ["feed", "file_no", "field"]).select("rec_id", F.struct("name", plain.alias("value")).alias("e"))
-    maps = cast.groupBy("rec_id").agg(F.map_from_entries(F.array_sort(F.collect_list("e"))).alias("fields"))
+    each = cells(recs, cut_lineage(lineage(recs)))
+    maps = each.groupBy("rec_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("name", "value")))).alias("fields"))
     return recs.select("rec_id", "feed", "file_no", "line_no", "rec_key").join(maps, "rec_id", "left")
+
+
+def column_type(kind: str) -> str:
+    return f"array<{SQL_TYPES.get(kind[5:-1], 'string')}>" if kind.startswith("list<") else SQL_TYPES[kind]
+
+
+def feed_table(raw: DataFrame, feed: str) -> DataFrame:
+    """All records of one feed with a typed column per field: ``(rec_id, file_no, line_no, rec_key, <fields>)``.
+
+    The feed's schema (a row per field) is read to the driver to make the columns; names that clash with the first four
+    columns in any case get a trailing underscore.
+    """
+    recs = records(raw.where(F.col("feed") == feed))
+    lines = cut_lineage(lineage(recs))
+    fields = union_schema(lines).orderBy("name").collect()
+    sources: dict[str, list[tuple[int, str]]] = {}
+    for r in lines.where("change IS NULL").select("lineage", "file_no", "field").collect():
+        sources.setdefault(r["lineage"], []).append((r["file_no"], r["field"]))
+    values = recs.select("rec_id", "file_no", "line_no", "rec_key", F.try_variant_get("body", "$", "map<string,variant>").alias("_m"))
+    out, taken = [], {"rec_id", "file_no", "line_no", "rec_key"}
+    for f in fields:
+        by_name: dict[str, list[int]] = {}
+        for no, name in sources[f["lineage"]]:
+            by_name.setdefault(name, []).append(no)
+        value = F.coalesce(*[F.when(F.col("file_no").isin(*nos), F.try_element_at("_m", F.lit(name))) for name, nos in by_name.items()])
+        text = typed_text(value, F.lit(f["kind"]))
+        made = F.when(F.schema_of_variant(value) != "VOID", text) if f["kind"] == "string" else F.try_variant_get(value, "$", column_type(f["kind"]))
+        name = f["name"]
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(made.alias(name))
+    return values.select("rec_id", "file_no", "line_no", "rec_key", *out)

@@ -36,7 +36,9 @@ def ci(c: Column, pattern: str) -> Column:
 
 
 def is_noise(line: Column, patterns: Sequence[str]) -> Column:
-    return ci(line, "(?:" + "|".join(patterns) + ")")
+    """One anchor for all patterns: a long line is told by its start and not tried anew at each sign."""
+    start = f"^{D.S}*"
+    return ci(line, start + "(?:" + "|".join(p.removeprefix(start).removeprefix("^") for p in patterns) + ")")
 
 
 def repeated_lines(pages: DataFrame, band: int = 3, min_ratio: float = 0.5) -> DataFrame:
@@ -59,12 +61,14 @@ def repeated_lines(pages: DataFrame, band: int = 3, min_ratio: float = 0.5) -> D
 def kept_lines(pages: DataFrame, how: D.Dialect) -> DataFrame:
     """``(doc_id, page_no, lines)``: the lines of each page without repeated ones and noise; blank lines stay, empty."""
     again = repeated_lines(pages).groupBy("doc_id").agg(F.collect_set("line").alias("again"))
-    known = pages.join(again, "doc_id", "left").withColumn("again", F.coalesce("again", F.array().cast("array<string>")))
     lines = F.transform(split_lines("text"), lambda x: F.struct(rstrip(x).alias("r"), strip(x).alias("s")))
-    each = known.select("doc_id", "page_no", "again", lines.alias("l"))
-    kept = F.filter("l", lambda x: (x["s"] == "") | ~(F.array_contains(F.col("again"), x["s"]) | is_noise(x["s"], how.noise)))
-    texts = F.transform(kept, lambda x: F.when(x["s"] == "", "").otherwise(x["r"]))
-    return each.select("doc_id", "page_no", F.coalesce(texts, F.array().cast("array<string>")).alias("lines"))
+    quiet = F.filter(lines, lambda x: (x["s"] == "") | ~is_noise(x["s"], how.noise))
+    texts = F.transform(quiet, lambda x: F.when(x["s"] == "", "").otherwise(x["r"]))
+    # noise goes where a page is read; after the exchange by document only the few repeated lines are looked for
+    each = pages.select("doc_id", "page_no", F.coalesce(texts, F.array().cast("array<string>")).alias("lines"))
+    known = each.join(again, "doc_id", "left")
+    kept = F.when(F.col("again").isNull(), F.col("lines")).otherwise(F.filter("lines", lambda x: ~F.array_contains(F.col("again"), strip(x))))
+    return known.select("doc_id", "page_no", kept.alias("lines"))
 
 
 def dehyphenate(text: Column) -> Column:

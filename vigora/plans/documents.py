@@ -422,7 +422,7 @@ _ITEM_HEADS = r"""item_heads AS (SELECT slug, CASE WHEN numero::BIGINT % 3 = 0 T
 _ITEM_PAGES = f"""{_LATEST}, {_NORMS}, {_ROWS}, {_ITEM_HEADS},
 pages AS (
   SELECT slug AS doc_id, 0::BIGINT AS page_no, text FROM item_heads
-  UNION ALL SELECT doc_id, coalesce(ascii(apendice), 0) * 1000000000000000 + {_AT}, concat_ws(chr(10), secao, 'APÊNDICE ' || apendice,
+  UNION ALL SELECT doc_id, coalesce(ascii(apendice), 0) * 1000000000000000 + {_AT}, concat_ws(chr(10) || chr(10), secao, 'APÊNDICE ' || apendice,
     CASE WHEN apendice IS NOT NULL AND p.n::BIGINT % 2 = 1 THEN apendice || texto ELSE texto END || CASE WHEN p.earlier = '' AND revisao LIKE 'R%' THEN ' (Alterado pela Revisão CPC ' || revisao || ')' ELSE '' END)
     FROM ({_PLACE('item')}) WHERE p.n <> '')"""
 _OPENINGS = f"""{_LATEST}, {_NORMS}, {_ITEM_HEADS},

@@ -81,7 +81,7 @@ def accounting_pages(spark: SparkSession, d: str) -> DataFrame:
     number, place, earlier = _place("item")
     mark = F.when(earlier.isNull() & F.col("revisao").startswith("R"), F.concat(F.lit(" (Alterado pela Revisão CPC "), "revisao", F.lit(")"))).otherwise("")
     lettered = F.when(F.col("apendice").isNotNull() & (number % 2 == 1), F.concat("apendice", "texto")).otherwise(F.col("texto"))
-    text = F.concat_ws("\n", "secao", F.concat(F.lit("APÊNDICE "), "apendice"), F.concat(lettered, mark))
+    text = F.concat_ws("\n\n", "secao", F.concat(F.lit("APÊNDICE "), "apendice"), F.concat(lettered, mark))
     far = F.coalesce(F.ascii("apendice").cast("bigint"), F.lit(0)) * (1_000_000 * STEP)
     items = units.select(F.substring_index("id", "--", 1).alias("doc_id"), (far + place).alias("page_no"), text.alias("text")).where("page_no IS NOT NULL")
     first = accounting_heads(spark, d).select(F.col("slug").alias("doc_id"), F.lit(0).cast("bigint").alias("page_no"), "text")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigora.operators import drift, history, orphans, packed
-from vigora.sources.tables import table
+from vigora.sources.tables import cut_lineage, table
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
@@ -35,12 +35,12 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_table(spark: SparkSession, d: str) -> DataFrame:
-    whole = drift.unify(table(spark, d, "raw_record"))
-    return whole.withColumn("fields", F.to_json("fields"))
+    recs = drift.records(table(spark, d, "raw_record"))
+    return drift.cells(recs, cut_lineage(drift.lineage(recs)))
 
 
 def p2_schema(spark: SparkSession, d: str) -> DataFrame:
-    return drift.union_schema(drift.lineage(drift.cells(drift.records(table(spark, d, "raw_record"))))).select("feed", "name", "kind")
+    return drift.union_schema(drift.lineage(drift.records(table(spark, d, "raw_record")))).select("feed", "name", "kind")
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
