@@ -108,5 +108,16 @@ def test_log_holds_only_what_changes(spark):
 
 def test_as_of(spark):
     rows = [row(1, "a--1"), row(3, "a--1", vigente=False)]
-    state = H.as_of(H.unit_history(spark.createDataFrame(rows, SCHEMA)), "2025-02-15")
+    state = H.as_of(H.unit_log(spark.createDataFrame(rows, SCHEMA)), "id", H.ATTRS, "2025-02-15")
     assert [r["vigente"] for r in state.select(F.col("vigente")).collect()] == [True]
+
+
+def test_as_of_a_day_equals_the_folded_history(spark):
+    rng = random.Random(9)
+    rows = [row(m, f"n--{u}", rng.choice(["1", "2"]), rng.choice([True, False]), [x for x in "ab" if rng.random() < 0.4], u, "n") for m in range(1, 11) for u in range(10) if rng.random() < 0.8]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for every in (1, 4):
+        log, history = H.unit_log(df, every).cache(), H.unit_history(df, every).cache()
+        for day in ("2024-12-31", "2025-01-01", "2025-04-20", "2025-12-31"):
+            want = history.where((F.col("valid_from") <= day) & (F.col("valid_to") > day)).select("id", "valid_from", *H.ATTRS)
+            assert sorted(map(tuple, H.as_of(log, "id", H.ATTRS, day).collect())) == sorted(map(tuple, want.collect()))

@@ -73,3 +73,20 @@ def test_cells_of_a_table(spark):
     got = P.split_codes(spark.createDataFrame(rows, schema)).select("row_no", "pos", "code").orderBy("pos").collect()
     assert [tuple(r) for r in got] == [(1, 1, "1234.56"), (1, 2, "8471")]
     assert P.split_codes(spark.createDataFrame([], schema)).collect() == []
+
+
+def test_brackets_by_nesting():
+    assert P.parse("((0101.21.00, 0102.29.00))") == (["0101.21.00", "0102.29.00"], 0)
+    assert P.parse("[(8471.30; 8472.10)] 9999.10") == (["8471.30", "8472.10", "9999.10"], 0)
+    assert P.parse("(exceto (ver nota) 8471) 8472.10 e 8473") == (["8472.10", "8473"], 0)
+    assert P.parse("(8471.30, 8472.10") == (["8471.30", "8472.10"], P.MALFORMED_BRACKET)
+    assert P.parse("“‘«\"'8471.30'\"»’” 8472.10") == (["8471.30", "8472.10"], 0)
+    deep = "(" * 5_000 + "8471.30, 8472.10" + ")" * 5_000
+    assert P.parse(deep) == (["8471.30", "8472.10"], 0)
+
+
+def test_cells_whose_gaps_hold_dots_and_cells_with_one_code(spark):
+    cells = ["1234.56.78. 8765.43.21", "8471.30.12.\n8471.41.10", "8471.30.12", "sem código", None]
+    df = spark.createDataFrame([("n", "a.csv", i, ["NCM"], [c]) for i, c in enumerate(cells)], "slug string, csv string, row_no int, header array<string>, cells array<string>")
+    assert [(r["row_no"], r["code"]) for r in P.split_codes(df).orderBy("row_no", "pos").collect()] == [(0, "1234.56.78"), (0, "8765.43.21"), (1, "8471.30.12"), (1, "8471.41.10")]
+    assert [(r["row_no"], r["code"]) for r in P.split_codes(df, 1).where("row_no >= 2").collect()] == [(2, "8471.30.12")]

@@ -86,3 +86,25 @@ def code_lookup(rows: DataFrame, pattern: str = r"\d{4}\.\d{2}\.\d{2}") -> DataF
     each = rows.select("slug", "csv", "row_no", F.explode("cells").alias("cell"))
     found = each.select("slug", "csv", "row_no", F.explode(F.regexp_extract_all("cell", F.lit(f"({pattern})"), F.lit(1))).alias("code"))
     return found.select("code", "slug", "csv", "row_no").distinct()
+
+
+def from_page_tables(tables: DataFrame, last_contents_page: int = 0) -> DataFrame:
+    """Rows ``(slug, csv, row_no, header, cells, page, to_csv)`` of tables as an extractor finds them: ``(slug, page, table_no, rows)``.
+
+    ``rows`` is an array of arrays of cells, the first of them the header. Tables of fewer than two rows are skipped, as are
+    tables of contents up to ``last_contents_page``; of the others those that are kept apart are numbered in order of page
+    and table (``anexo_NN.csv``), the small ones keep ``page_table`` as their name. Null ids and null tables are left out.
+    """
+    clean = F.transform("rows", clean_cells)
+    held = tables.where(F.col("slug").isNotNull()).select("slug", "page", "table_no", clean.alias("rows")).where(F.size("rows") >= 2)
+    speaks = F.exists("rows", lambda r: F.exists(r, lambda c: c.rlike("Item|Sum")))
+    held = held.where(~(speaks & F.coalesce(F.col("page") <= last_contents_page, F.lit(False))))
+    body = F.size("rows") - 1
+    cols = F.array_max(F.transform("rows", lambda r: F.size(r)))
+    routed = held.withColumn("to_csv", (body >= 8) | ((cols >= 3) & (body >= 4)))
+    order = W.partitionBy("slug", "to_csv").orderBy("page", "table_no")
+    named = routed.withColumn("_n", F.row_number().over(order))
+    csv = F.when(F.col("to_csv"), F.format_string("anexo_%02d.csv", "_n")).otherwise(F.concat_ws("_", "page", "table_no"))
+    each = named.select("slug", csv.alias("csv"), F.get("rows", F.lit(0)).alias("header"), F.posexplode("rows").alias("row_no", "cells"), "page", "to_csv")
+    header = F.when(F.col("to_csv"), fill_header(F.col("header"))).otherwise(F.col("header"))
+    return each.where("row_no > 0").select("slug", "csv", "row_no", header.alias("header"), "cells", "page", "to_csv")

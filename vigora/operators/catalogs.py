@@ -25,7 +25,10 @@ def distinct_norms(metas: DataFrame) -> DataFrame:
 
 
 def manifest_entries(metas: DataFrame, annexes: DataFrame, chunks: DataFrame) -> DataFrame:
-    """One row per norm with its counts and the paths of the files it has; norms without annexes or units keep null paths."""
+    """One row per norm, in order of slug, with its counts and the paths of the files it has.
+
+    A norm with units has a text and a file of units, one with annexes a folder of them; what a norm lacks is null.
+    """
     norms = distinct_norms(metas).withColumn("slug", slug(F.col("identificador")))
     csvs = annexes.where("csv IS NOT NULL").groupBy("slug").agg(F.count_distinct("csv").alias("n"))
     units = chunks.where("id IS NOT NULL").select(F.substring_index("id", "--", 1).alias("slug")).distinct().withColumn("has", F.lit(True))
@@ -37,19 +40,29 @@ def manifest_entries(metas: DataFrame, annexes: DataFrame, chunks: DataFrame) ->
         F.coalesce("n_artigos_vigentes", "n_artigos").cast("bigint").alias("n_artigos_vigentes"),
         F.coalesce("n_redacoes_anteriores", F.lit(0)).cast("bigint").alias("n_redacoes_anteriores"),
         F.coalesce("n", F.lit(0)).alias("n_anexos"), "sha256_16",
-        F.when(F.col("has"), path(s, "/", s, ".chunks.jsonl")).alias("chunks"),
-        F.when(F.col("n") > 0, path(s, "/anexos/")).alias("anexos_dir"),
-    )
+        F.when(F.col("has"), path(s, "/", s, ".md")).alias("markdown"), F.when(F.col("has"), path(s, "/", s, ".chunks.jsonl")).alias("chunks"),
+        path(s, "/", s, ".meta.json").alias("meta"), F.when(F.col("n") > 0, path(s, "/anexos/")).alias("anexos_dir"),
+    ).orderBy("slug")
+
 
+#: Fixed value: what a manifest says of itself.
+DESCRIPTION = "Base de legislacao contabil/tributaria para consulta pela skill contador (RAG)."
 
-def manifest_head(entries: DataFrame) -> DataFrame:
-    """One row ``(schema_version, total_normas, vigentes, anexos)``; the entries stay rows, whatever their number."""
+
+def manifest_head(entries: DataFrame, made_on: str, description: str = DESCRIPTION) -> DataFrame:
+    """One row ``(schema_version, descricao, gerado_em, total_normas, vigentes, anexos)``; the entries stay rows, whatever their number."""
     return entries.agg(
-        F.lit("1.0").alias("schema_version"), F.count("*").alias("total_normas"),
+        F.lit("1.0").alias("schema_version"), F.lit(description).alias("descricao"), F.lit(made_on).alias("gerado_em"), F.count("*").alias("total_normas"),
         F.sum("n_artigos_vigentes").alias("vigentes"), F.sum("n_anexos").alias("anexos"),
     )
 
 
+def manifest_records(entries: DataFrame) -> DataFrame:
+    """Entries in the shape in which a manifest lists them: the paths nested under ``arquivos``."""
+    paths = ("markdown", "chunks", "meta", "anexos_dir")
+    return entries.select(*[c for c in entries.columns if c not in paths], F.struct(*paths).alias("arquivos"))
+
+
 def code_key(code: Column) -> Column:
     """Upper case without revision mark, inner white space as one blank."""
     bare = F.regexp_replace(F.upper(strip(code)), rf"{D.S}*\(R\d+\){D.S}*", "")
@@ -62,18 +75,34 @@ def distinct_entries(entries: DataFrame, key: str = "codigo") -> DataFrame:
     return entries.where(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(*cols)).alias("e")).select(key, "e.*")
 
 
-def flip(entries: DataFrame, targets: Sequence[str], other: str | None = None) -> DataFrame:
-    """``(target, codigo, outcome)``: each target meets the first entry whose code, or ``other`` code, it names.
+def flip(entries: DataFrame, targets: Sequence[str], other: str | None = None, order: str = "codigo") -> DataFrame:
+    """``(target, codigo, outcome)``: entries in order of ``order`` take the first target left that names their code, or ``other`` code.
 
-    Outcomes: ``found`` (to be marked), ``already`` or ``missing``. Targets are few and given by the caller.
+    An entry takes one target, a target one entry. Outcomes: ``found`` (to be marked), ``already`` or ``missing``. Targets are
+    given by the caller; of each key as many entries as there are targets are looked at, no others can be taken.
     """
     spark = entries.sparkSession
-    wanted = spark.createDataFrame([(t,) for t in dict.fromkeys(targets)], "target string").withColumn("key", code_key(F.col("target")))
+    asked = list(dict.fromkeys(targets))
+    wanted = spark.createDataFrame([(i, t) for i, t in enumerate(asked)], "i int, target string").withColumn("key", code_key(F.col("target")))
     names = F.array_distinct(F.array_compact(F.array(code_key(F.col("codigo")), *([code_key(F.col(other))] if other else []))))
-    keyed = entries.select("codigo", F.coalesce("no_repo", F.lit(False)).alias("no_repo"), F.explode(names).alias("key"))
-    first = keyed.groupBy("key").agg(F.min(F.struct("codigo", "no_repo")).alias("e"))
-    outcome = F.when(F.col("e").isNull(), "missing").when(F.col("e.no_repo"), "already").otherwise("found")
-    return wanted.join(first, "key", "left").select("target", F.col("e.codigo").alias("codigo"), outcome.alias("outcome"))
+    keyed = entries.select("codigo", F.col(order).alias("_order"), F.coalesce("no_repo", F.lit(False)).alias("no_repo"), F.explode(names).alias("key"))
+    met = keyed.join(F.broadcast(wanted.select("key").distinct()), "key", "left_semi")
+    first = W.partitionBy("key").orderBy("_order", "codigo")
+    near = met.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= len(asked)).join(wanted, "key")
+    rows = near.select("_order", "codigo", "no_repo", "i").distinct().orderBy("_order", "codigo", "i").collect()
+    taken: dict[int, tuple[str, bool]] = {}
+    used: set[str] = set()
+    for r in rows:
+        if r["codigo"] not in used and r["i"] not in taken:
+            taken[r["i"]] = (r["codigo"], r["no_repo"])
+            used.add(r["codigo"])
+    told = [(t, taken[i][0], "already" if taken[i][1] else "found") if i in taken else (t, None, "missing") for i, t in enumerate(asked)]
+    return spark.createDataFrame(told, "target string, codigo string, outcome string")
+
+
+def flip_report(flips: DataFrame) -> DataFrame:
+    """One row ``(found, already, missing)``: how many targets were marked, held before, and not found."""
+    return flips.agg(*[F.count_if(F.col("outcome") == o).alias(o) for o in ("found", "already", "missing")])
 
 
 def apply_flip(entries: DataFrame, flips: DataFrame) -> DataFrame:
@@ -136,3 +165,44 @@ def table_lines(entries: DataFrame) -> DataFrame:
     cells = (F.col("codigo"), F.coalesce("titulo", F.lit("")), F.coalesce("data", F.lit("")), folder, status(F.col("situacao"), F.col("no_repo")))
     line = F.concat(F.lit("| "), F.concat_ws(" | ", *cells), F.lit(" |"))
     return entries.select(F.coalesce("data", F.lit("0000")).alias("order_key"), "codigo", line.alias("line")).orderBy("order_key", "codigo")
+
+
+# Sections of the accounting catalog in order of print, with the families that they hold.
+SECTIONS = (
+    ("1. NBC TG - Tecnica Geral", ("NBC TG",)), ("2. PME e Microempresa", ("NBC TG PME",)), ("3. ITG - Interpretacoes Tecnicas Gerais", ("ITG",)),
+    ("4. ICPC", ("ICPC",)), ("5. OCPC", ("OCPC",)), ("6. CTG", ("CTG",)), ("7. NBC TSP - Setor Publico", ("NBC TSP",)), ("8. NBC TA - Auditoria", ("NBC TA",)),
+    ("9. NBC TR / TO / TSC", ("NBC TR", "NBC TO", "NBC TSC")), ("10. NBC TP / NBC PP - Pericia", ("NBC TP", "NBC PP")), ("11. NBC PG / NBC PA - Normas Profissionais", ("NBC PG", "NBC PA")),
+)
+BLOCK_TITLES = ("Principios Gerais", "Avaliacao de Riscos", "Evidencia", "Trabalho de Terceiros", "Relatorio", "Areas Especializadas")
+#: A code that stands in another section than its family.
+MOVED = {"ITG 1000": 2}
+
+
+def section_of(codigo: Column, familia: Column, moved: dict[str, int] | None = None) -> Column:
+    """Number of the section of an entry: its code's own, else its family's; null for a family without section."""
+    out = F.when(F.lit(False), F.lit(0))
+    for code, n in (MOVED if moved is None else moved).items():
+        out = out.when(codigo == code, n)
+    for n, (_, families) in enumerate(SECTIONS, 1):
+        out = out.when(familia.isin(*families), n)
+    return out
+
+
+def accounting_lines(entries: DataFrame, order: str = "codigo") -> DataFrame:
+    """``(section, part, place, line)``: the accounting catalog as rows of Markdown in order of section, part and place.
+
+    Audit norms are parted by the block of their number (a frame of their own first, numbers outside all blocks left out),
+    professional norms by family. The first section shows the corresponding pronouncement, the ninth and tenth the family.
+    """
+    number = F.expr("try_cast(regexp_extract(codigo, ' ([0-9]+)$', 1) AS bigint)")
+    block = F.when(F.col("codigo").contains("Estrutura"), 0)
+    for n, (low, high) in enumerate(AUDIT_BLOCKS, 1):
+        block = block.when(number.between(low, high), n)
+    told = entries.withColumn("section", section_of(F.col("codigo"), F.col("familia"))).where("section IS NOT NULL")
+    families = F.array(*[F.lit(f) for _, fs in SECTIONS for f in fs])
+    part = F.when(F.col("section") == 8, block).when(F.col("section").isin(9, 10), 0).otherwise(F.array_position(families, F.col("familia")).cast("int"))
+    mark = status(F.col("situacao"), F.col("no_repo"), F.col("revogada_por"))
+    extra = F.when(F.col("section") == 1, F.coalesce("correspondencia_cpc", F.lit("—"))).when(F.col("section").isin(9, 10), F.col("familia"))
+    line = F.concat(F.lit("| "), F.concat_ws(" | ", "codigo", extra, F.coalesce("titulo", F.lit("")), mark), F.lit(" |"))
+    key = F.when(F.col("section") == 1, F.col("codigo").cast("string")).otherwise(F.col(order).cast("string"))
+    return told.select("section", part.alias("part"), key.alias("place"), line.alias("line")).where("part IS NOT NULL").orderBy("section", "part", "place")

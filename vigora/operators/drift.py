@@ -69,9 +69,8 @@ def scalar_type(schema: Column, text: Column) -> Column:
     )
 
 
-def lattice_type(value: Column) -> Column:
-    """Lattice type of a variant: a scalar's, or ``list<t>`` of the join of its elements' types; null for a JSON null."""
-    schema = F.schema_of_variant(value)
+def lattice_type(value: Column, schema: Column) -> Column:
+    """Lattice type of a variant of that schema: a scalar's, or ``list<t>`` of the join of its elements' types; null for a JSON null."""
     items = F.try_variant_get(value, "$", "array<variant>")
     each = F.transform(items, lambda v: scalar_type(F.schema_of_variant(v), F.try_variant_get(v, "$", "string")))
     return F.when(schema.startswith("ARRAY"), F.concat(F.lit("list<"), promote_scalars(each), F.lit(">"))).otherwise(
@@ -105,8 +104,8 @@ def promote(kinds: Column) -> Column:
 
 def records(raw: DataFrame, keys: tuple[str, ...] = ("ITEM", "id")) -> DataFrame:
     """Valid records ``(feed, file_no, rec_id, line_no, delivered_at, rec_key, body)``, ``body`` as a variant."""
-    valid = raw.where(F.col("feed").isNotNull() & F.col("file_no").isNotNull()).withColumn("_v", F.try_parse_json("body"))
-    valid = valid.where(F.schema_of_variant("_v").startswith("OBJECT"))
+    placed = raw.where(F.col("feed").isNotNull() & F.col("file_no").isNotNull() & F.ltrim("body", F.lit(" \t\n\r")).startswith("{"))
+    valid = placed.withColumn("_v", F.try_parse_json("body")).where(F.col("_v").isNotNull())
     rec_key = F.coalesce(*[F.try_variant_get("_v", f"$.{k}", "string") for k in keys])
     return valid.select("feed", "file_no", "rec_id", "line_no", "delivered_at", rec_key.alias("rec_key"), F.col("_v").alias("body"))
 
@@ -116,13 +115,15 @@ def fields_of(body: Column) -> Column:
     return F.map_entries(F.try_variant_get(body, "$", "map<string,variant>"))
 
 
-def headers(recs: DataFrame) -> DataFrame:
-    """``(feed, file_no, field, kind, types)``: the fields of each file, their JSON type and their lattice types.
+def headers(recs: DataFrame, types: bool = True) -> DataFrame:
+    """``(feed, file_no, field, kind, types)``: the fields of each file, their JSON type and, if asked for, their lattice types.
 
     Combined map-side, so hot feeds stay small.
     """
     flat = recs.select("feed", "file_no", F.explode(fields_of(F.col("body"))).alias("e"))
-    told = flat.select("feed", "file_no", F.col("e.key").alias("field"), json_kind(F.schema_of_variant("e.value")).alias("kind"), lattice_type(F.col("e.value")).alias("type"))
+    seen = flat.select("feed", "file_no", F.col("e.key").alias("field"), F.schema_of_variant("e.value").alias("_s"), F.col("e.value").alias("_v"))
+    type_ = lattice_type(F.col("_v"), F.col("_s")) if types else F.lit(None).cast("string")
+    told = seen.select("feed", "file_no", "field", json_kind(F.col("_s")).alias("kind"), type_.alias("type"))
     counted = told.groupBy("feed", "file_no", "field", "kind", "type").agg(F.count("*").alias("n"))
     by_kind = counted.groupBy("feed", "file_no", "field", "kind").agg(F.sum("n").alias("n"), F.collect_set("type").alias("types"))
     rank = F.array_position(F.array(*[F.lit(k) for k in KINDS]), F.col("kind"))
@@ -235,18 +236,20 @@ def _batch(out: dict[str, list]) -> pa.RecordBatch:
     return made
 
 
-def lineage(recs: DataFrame) -> DataFrame:
+def lineage(recs: DataFrame, types: bool = True) -> DataFrame:
     """Ordered changes (``change`` set) and, per file and field, the JSON type, the lattice types and the field's lineage (``change`` null)."""
-    header = cut_lineage(headers(recs))
+    header = cut_lineage(headers(recs, types))
     named = header.join(renames(recs, header), ["feed", "file_no", "field"], "left")
     ordered = named.select("feed", F.col("file_no").cast("int").alias("file_no"), "field", "kind", "old")
     folded = ordered.repartition("feed").sortWithinPartitions("feed", "file_no", "field").mapInArrow(_fold, LINEAGE)
+    if not types:
+        return folded
     return folded.join(header.select("feed", "file_no", "field", "types"), ["feed", "file_no", "field"], "left")
 
 
 def changes(raw: DataFrame) -> DataFrame:
     """``(feed, file_no, change, field)``: every change of a file against the file before it."""
-    return lineage(records(raw)).where(F.col("change").isNotNull()).select("feed", "file_no", "change", "field")
+    return lineage(records(raw), types=False).where(F.col("change").isNotNull()).select("feed", "file_no", "change", "field")
 
 
 def union_schema(lines: DataFrame) -> DataFrame:

@@ -119,9 +119,17 @@ def fold(log: DataFrame, key: str, attrs: Sequence[str]) -> DataFrame:
     )
 
 
-def as_of(history: DataFrame, day: str) -> DataFrame:
-    """The versions that hold on ``day`` (yyyy-mm-dd): from inclusive, to exclusive."""
-    return history.where((F.col("valid_from") <= day) & (F.col("valid_to") > day))
+def as_of(log: DataFrame, key: str, attrs: Sequence[str], day: str) -> DataFrame:
+    """``(key, valid_from, *attrs)``: the versions that hold on ``day`` (yyyy-mm-dd), rebuilt from a checkpoint-delta log.
+
+    Of each key only the entries from its nearest checkpoint up to the day are folded, whatever the length of its history.
+    """
+    past = log.where(F.col("at") <= F.lit(day).cast("date"))
+    base = F.max(F.when(F.col("kind") == "full", F.col("at"))).over(W.partitionBy(key))
+    near = past.withColumn("_base", base).where(F.col("at") >= F.col("_base"))
+    folded = [F.max_by(F.struct(F.col(a).alias("v")), F.when(F.array_contains("changed", a), F.col("at"))).alias(a) for a in attrs]
+    state = near.groupBy(key).agg(F.max_by("kind", "at").alias("kind"), F.max("at").alias("at"), *folded).where("kind <> 'end'")
+    return state.select(key, F.date_format("at", "yyyy-MM-dd").alias("valid_from"), *[F.col(a)["v"].alias(a) for a in attrs])
 
 
 ATTRS = ("artigo", "vigente", "notas")

@@ -58,3 +58,10 @@ def sanity(metas: DataFrame, least: int = 1) -> DataFrame:
     n = F.coalesce("n_artigos", "n_itens")
     problems = F.array_compact(F.array(F.when(F.col("numero").isNull(), "no number"), F.when(F.col("ano").isNull(), "no year"), F.when(n < least, "few units")))
     return norms.select("identificador", F.explode(problems).alias("problem"))
+
+
+def annex_leaks(lines: DataFrame, units: DataFrame) -> DataFrame:
+    """``(doc_id, pos, line)``: lines of a document's annexes (``lines`` as told by the law dialect) that also stand in the text of a unit."""
+    skipped = lines.where((F.col("kind") == "skipped") & (F.length("line") >= 20)).select("doc_id", "line").distinct()
+    said = units.select("doc_id", "pos", F.explode(F.split("texto", "\n", -1)).alias("line"))
+    return said.join(skipped, ["doc_id", "line"], "left_semi").select("doc_id", "pos", "line").distinct()

@@ -295,6 +295,11 @@ def v5_front_matter(spark: SparkSession, d: str) -> DataFrame:
     return V.front_matter_differs(metas.select("slug", R.front_matter(metas, ("identificador", "tipo", "numero", "ano")).alias("markdown")), table(spark, d, "norm_meta"))
 
 
+def v7_annex_leaks(spark: SparkSession, d: str) -> DataFrame:
+    lines = _law_lines(spark, d)
+    return V.annex_leaks(S.classify_law(lines), S.law_units(lines))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -303,7 +308,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         e7_slugs, e8_accounting_headers, e9_correlations, e10_titles, e11_accounting_summaries, e12_objectives, e13_title_case, e14_fingerprints,
         e15_accounting_slugs, law_line_kinds, law_units, law_chunks, law_chunk_records, law_counts, law_meta_records, law_subunits, law_bodies, law_notes_refs,
         accounting_line_kinds, accounting_units, accounting_counts, accounting_bodies, accounting_chunk_records, accounting_meta_records, render_front_matter,
-        render_headings, render_sections, law_documents, accounting_documents, v5_front_matter,
+        render_headings, render_sections, law_documents, accounting_documents, v5_front_matter, v7_annex_leaks,
     )
 }
 
@@ -675,5 +680,6 @@ ORACLE: dict[str, str] = {
     "accounting_documents": f"WITH {_ITEM_UNITS}, " + _document("tipo = 'CPC'", f"concat_ws(chr(10), {_FRONT(_ITEM_FRONT)} || chr(10), '# ' || identificador || ' — ' || coalesce(titulo, identificador) || chr(10), {_QUOTE('correlacao_ifrs', '**Correlação:** ')}, {_QUOTE('ementa')})",
         f"""CASE WHEN secao IS DISTINCT FROM was THEN chr(10) || '## ' || secao || chr(10) || chr(10) ELSE '' END || chr(10) || '<a id="item-' || lower(numero) || {_EARLIER} || '"></a>' || chr(10) || {_strip("CASE WHEN vigente THEN '**' || numero || '.** ' || md ELSE '> _(Item ' || numero || ' — redação anterior, superada por revisão)_  ' || chr(10) || '> ' || md END")}
             FROM (SELECT *, lag(secao) OVER (PARTITION BY doc_id ORDER BY pos) AS was FROM units) WHERE true"""),
+    "v7_annex_leaks": f"WITH {_LAW_UNITS}, said AS (SELECT doc_id, pos, unnest(string_split(texto, chr(10))) AS line FROM units) SELECT DISTINCT s.doc_id, s.pos, s.line FROM said s JOIN kinds k ON k.doc_id = s.doc_id AND k.line = s.line WHERE k.kind = 'skipped' AND length(k.line) >= 20",
     "v5_front_matter": f"WITH {_LAW_UNITS}, {_LAW_META} SELECT m.doc_id AS slug, m.identificador AS said, n.identificador FROM metas m JOIN norms n ON n.slug = m.doc_id WHERE m.identificador <> n.identificador",
 }

@@ -68,7 +68,7 @@ def m1_manifest(spark: SparkSession, d: str) -> DataFrame:
 
 
 def m4_manifest_head(spark: SparkSession, d: str) -> DataFrame:
-    return C.manifest_head(m1_manifest(spark, d))
+    return C.manifest_head(m1_manifest(spark, d), "2025-12-31")
 
 
 def c1_code_keys(spark: SparkSession, d: str) -> DataFrame:
@@ -131,6 +131,17 @@ def c12_exceptions(spark: SparkSession, d: str) -> DataFrame:
     return entries.select("codigo", F.when(moved, "apart").otherwise(F.col("familia")).alias("group"))
 
 
+def c9_accounting_catalog(spark: SparkSession, d: str) -> DataFrame:
+    """Accounting norms as entries of a catalog: every fourth number an audit norm, every fifth an interpretation, the rest NBC TG."""
+    norms = C.distinct_norms(table(spark, d, "norm_meta")).where("tipo = 'CPC' AND numero IS NOT NULL")
+    n = F.col("numero").cast("bigint")
+    family = F.when(n % 4 == 0, "NBC TA").when(n % 5 == 0, "ITG").otherwise("NBC TG")
+    code = F.concat(family, F.lit(" "), F.when(n % 4 == 0, 200 + n % 700).otherwise(n))
+    held = norms.select(code.alias("codigo"), "titulo", family.alias("familia"), F.when(n % 7 == 0, "revogada").otherwise("vigente").alias("situacao"), (n % 2 == 0).alias("no_repo"),
+                        F.when(n % 14 == 0, "NBC TG 1").alias("revogada_por"), F.col("identificador").alias("correspondencia_cpc"))
+    return C.accounting_lines(held)
+
+
 def r2_annex_index(spark: SparkSession, d: str) -> DataFrame:
     return R.annex_index(_rows(spark, d))
 
@@ -212,7 +223,7 @@ def x12_search(spark: SparkSession, d: str) -> DataFrame:
 def x19_router(spark: SparkSession, d: str) -> DataFrame:
     triggers = table(spark, d, "tax_catalog").select(F.explode(F.array_distinct("assunto")).alias("assunto")).where("assunto <> ''").distinct()
     listed = triggers.select(F.col("assunto").alias("skill"), F.regexp_replace(F.substring_index("assunto", "-", 1), "io$", "").alias("trigger"), F.length("assunto").alias("priority"))
-    return X.route(table(spark, d, "documents"), "doc_id", "text", listed, 100)
+    return X.route(table(spark, d, "documents"), "doc_id", "text", listed)
 
 
 def x20_subjects(spark: SparkSession, d: str) -> DataFrame:
@@ -220,9 +231,9 @@ def x20_subjects(spark: SparkSession, d: str) -> DataFrame:
 
 
 def x21_state_at(spark: SparkSession, d: str) -> DataFrame:
-    from vigora.operators.history import as_of, unit_history
+    from vigora.operators.history import ATTRS, as_of, unit_log
 
-    return as_of(unit_history(table(spark, d, "chunk_snapshot")), "2025-09-01").groupBy("vigente").agg(F.count("*").alias("n"))
+    return as_of(unit_log(table(spark, d, "chunk_snapshot")), "id", ATTRS, "2025-09-01").groupBy("vigente").agg(F.count("*").alias("n"))
 
 
 def v1_counts(spark: SparkSession, d: str) -> DataFrame:
@@ -255,7 +266,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         t1_cells, t2_routing, t3_headers, t4_numbering, t5_without_contents, t6_markdown, t7_stitched, t8_code_lookup, m1_manifest, m4_manifest_head,
         c1_code_keys, c2_flip, c2_flipped, c3_status, c4_by_subject, c5_first_subject, c6_leftovers, c7_chronological, c8_coverage, c9_by_family,
-        c10_pronouncements, c11_blocks, c12_exceptions, r2_annex_index, r7_table_lines, x1_norm_units, x2_current, x3_citation, x4_wordings, x5_follow_refs,
+        c10_pronouncements, c11_blocks, c12_exceptions, c9_accounting_catalog, r2_annex_index, r7_table_lines, x1_norm_units, x2_current, x3_citation, x4_wordings, x5_follow_refs,
         x6_correspondence, x7_chains, x8_prefixes, x9_articles, x10_valid_on, x11_snapshot_diff, x12_search, x19_router, x20_subjects, x21_state_at,
         v1_counts, v2_repeated_ids, v4_broken_json, v6_missing_annexes, v7_sanity, v7_mojibake,
     )
@@ -276,7 +287,7 @@ _MANIFEST = f"""{_NORMS}, csvs AS (SELECT slug, count(DISTINCT csv) AS n FROM an
 held AS (SELECT DISTINCT split_part(id, '--', 1) AS slug FROM chunk WHERE id IS NOT NULL),
 entries AS (SELECT n.identificador, n.slug, n.tipo, n.numero, n.ano, n.ementa, n.fonte_versao, n.atualizado_em,
   coalesce(n_artigos_vigentes, n_artigos)::BIGINT AS n_artigos_vigentes, coalesce(n_redacoes_anteriores, 0)::BIGINT AS n_redacoes_anteriores, coalesce(c.n, 0) AS n_anexos, n.sha256_16,
-  CASE WHEN h.slug IS NOT NULL THEN n.slug || '/' || n.slug || '.chunks.jsonl' END AS chunks, CASE WHEN c.n > 0 THEN n.slug || '/anexos/' END AS anexos_dir
+  CASE WHEN h.slug IS NOT NULL THEN n.slug || '/' || n.slug || '.md' END AS markdown, CASE WHEN h.slug IS NOT NULL THEN n.slug || '/' || n.slug || '.chunks.jsonl' END AS chunks, n.slug || '/' || n.slug || '.meta.json' AS meta, CASE WHEN c.n > 0 THEN n.slug || '/anexos/' END AS anexos_dir
   FROM norms n LEFT JOIN csvs c ON c.slug = n.slug LEFT JOIN held h ON h.slug = n.slug)"""
 _LATEST = "latest AS (SELECT * FROM chunk WHERE id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY loaded_at DESC) = 1)"
 _KEY = lambda c: rf"regexp_replace(regexp_replace(upper({_STRIP(c)}), '{_S}*\(R[0-9]+\){_S}*', '', 'g'), '{_S}+', ' ', 'g')"
@@ -304,7 +315,7 @@ ORACLE: dict[str, str] = {
         SELECT slug, csv, sum((NOT goes_on)::INT) OVER (PARTITION BY slug ORDER BY csv) AS table_no FROM marked""",
     "t8_code_lookup": rf"WITH {_ROWS} SELECT DISTINCT unnest(regexp_extract_all(cell, '[0-9]{{4}}\.[0-9]{{2}}\.[0-9]{{2}}')) AS code, slug, csv, row_no FROM (SELECT slug, csv, row_no, unnest(cells) AS cell FROM cells_)",
     "m1_manifest": f"WITH {_MANIFEST} SELECT * FROM entries",
-    "m4_manifest_head": f"WITH {_MANIFEST} SELECT '1.0' AS schema_version, count(*) AS total_normas, sum(n_artigos_vigentes)::BIGINT AS vigentes, sum(n_anexos)::BIGINT AS anexos FROM entries",
+    "m4_manifest_head": f"WITH {_MANIFEST} SELECT '1.0' AS schema_version, 'Base de legislacao contabil/tributaria para consulta pela skill contador (RAG).' AS descricao, '2025-12-31' AS gerado_em, count(*) AS total_normas, sum(n_artigos_vigentes)::BIGINT AS vigentes, sum(n_anexos)::BIGINT AS anexos FROM entries",
     "c1_code_keys": f"SELECT DISTINCT identificador, {_KEY('identificador')} AS key FROM norm_meta",
     "c2_flip": f"WITH {_FLIP} SELECT target, codigo, outcome FROM flips",
     "c2_flipped": f"WITH {_FLIP} SELECT c.codigo, CASE WHEN f.codigo IS NOT NULL THEN true ELSE no_repo END AS no_repo FROM cat c LEFT JOIN (SELECT DISTINCT codigo FROM flips WHERE outcome = 'found') f ON f.codigo = c.codigo",
@@ -319,8 +330,13 @@ ORACLE: dict[str, str] = {
     "c11_blocks": r"""WITH codes AS (SELECT DISTINCT regexp_extract(identificador, '^([^0-9]+[0-9]+)', 1) AS codigo FROM norm_meta), n AS (SELECT codigo, try_cast(regexp_extract(codigo, ' ([0-9]+)$', 1) AS BIGINT) AS k FROM codes)
         SELECT codigo, low, high FROM n JOIN (VALUES (19000, 20019), (20020, 20049), (20050, 99999)) b(low, high) ON k BETWEEN low AND high""",
     "c12_exceptions": f"""WITH {_CATALOG} SELECT codigo, CASE WHEN codigo = 'LC 19999/2023' THEN 'apart' ELSE familia END AS "group" FROM cat""",
-    "r2_annex_index": rf"""WITH {_ROWS}, tables AS (SELECT slug, csv, count(*) AS n, list_filter(arg_min(header, row_no), lambda h: h <> '')[1:6] AS h FROM cells_ GROUP BY 1, 2)
-        SELECT slug, csv, '- **Anexo ' || regexp_extract(csv, '([^_]*)\.csv$', 1) || '** (' || n || ' linhas) → `anexos/' || csv || '`; colunas: ' || CASE WHEN len(h) > 0 THEN array_to_string(h, ', ') ELSE '—' END AS line FROM tables""",
+    "c9_accounting_catalog": r"""WITH n AS (SELECT DISTINCT ON (identificador) *, numero::BIGINT AS k FROM norm_meta WHERE tipo = 'CPC' AND numero IS NOT NULL ORDER BY identificador),
+        e AS (SELECT *, CASE WHEN k % 4 = 0 THEN 'NBC TA' WHEN k % 5 = 0 THEN 'ITG' ELSE 'NBC TG' END AS f, CASE WHEN k % 7 = 0 THEN CASE WHEN k % 14 = 0 THEN '[REV] (rev. NBC TG 1)' ELSE '[REV]' END WHEN k % 2 = 0 THEN '[OK]' ELSE '[  ]' END AS mark FROM n),
+        c AS (SELECT *, f || ' ' || CASE WHEN f = 'NBC TA' THEN 200 + k % 700 ELSE k END AS codigo, CASE f WHEN 'NBC TG' THEN 1 WHEN 'ITG' THEN 3 ELSE 8 END AS section, 200 + k % 700 AS a FROM e),
+        p AS (SELECT *, CASE section WHEN 1 THEN 1 WHEN 3 THEN 3 ELSE CASE WHEN a < 300 THEN 1 WHEN a < 500 THEN 2 WHEN a < 600 THEN 3 WHEN a < 700 THEN 4 WHEN a < 800 THEN 5 ELSE 6 END END AS part FROM c)
+        SELECT section, part, codigo AS place, '| ' || codigo || CASE WHEN section = 1 THEN ' | ' || identificador ELSE '' END || ' | ' || coalesce(titulo, '') || ' | ' || mark || ' |' AS line FROM p""",
+    "r2_annex_index": rf"""WITH {_ROWS}, tables AS (SELECT slug, csv, count(*) AS n, arg_min(header, row_no) AS h FROM cells_ GROUP BY 1, 2)
+        SELECT slug, csv, '- **Anexo ' || regexp_extract(csv, '([^_]*)\.csv$', 1) || '** (' || n || ' linhas) → `anexos/' || csv || '`  ' || chr(10) || '  Colunas: ' || CASE WHEN len(h) > 0 THEN array_to_string(h[1:6], ', ') ELSE '—' END AS line FROM tables""",
     "r7_table_lines": f"WITH {_CATALOG} SELECT codigo, '| ' || concat_ws(' | ', codigo, coalesce(titulo, ''), coalesce(data, ''), CASE WHEN pasta_repo IS NULL THEN '—' ELSE '[`' || pasta_repo || '`](../' || pasta_repo || '/)' END, {_STATUS}) || ' |' AS line FROM cat",
     "x1_norm_units": f"WITH {_MANIFEST}, {_LATEST} SELECT split_part(id, '--', 1) AS slug, id, path FROM latest WHERE split_part(id, '--', 1) IN (SELECT slug FROM entries WHERE identificador LIKE 'Lei %')",
     "x2_current": "SELECT DISTINCT id, norma FROM chunk WHERE vigente",
@@ -330,10 +346,10 @@ ORACLE: dict[str, str] = {
     "x5_follow_refs": f"WITH {_FOLLOW} SELECT id, ref, target, path FROM followed",
     "x6_correspondence": f"WITH {_CATALOG}, {_NORMS} SELECT c.codigo, c.titulo, {_STATUS} AS status, n.correlacao_ifrs FROM cat c LEFT JOIN norms n ON n.identificador = c.codigo",
     "x7_chains": f"""WITH RECURSIVE {_FOLLOW}, edges AS (SELECT DISTINCT id AS src, target AS dst FROM followed WHERE path IS NOT NULL AND id <> target),
-        reach(start, target, depth) AS (SELECT src, dst, 1 FROM edges UNION SELECT r.start, e.dst, r.depth + 1 FROM reach r JOIN edges e ON e.src = r.target WHERE r.depth < 40 AND e.dst <> r.start),
-        least_ AS (SELECT start, target, min(depth) AS depth FROM reach GROUP BY 1, 2)
-        SELECT start, count(*) AS reached, max(depth) AS deepest FROM least_ GROUP BY 1""",
-    "x8_prefixes": rf"WITH {_ROWS}, codes AS (SELECT DISTINCT unnest(regexp_extract_all(cell, '[0-9]{{4}}\.[0-9]{{2}}\.[0-9]{{2}}')) AS code FROM (SELECT unnest(cells) AS cell FROM cells_)) SELECT code, p_partkey, p_name FROM codes LEFT JOIN part ON left(code, 4) = left(lpad(p_partkey::VARCHAR, 4, '0'), 4)",
+        reach(start, target, depth) USING KEY (start, target) AS (SELECT src, dst, 1 FROM edges
+          UNION SELECT DISTINCT r.start, e.dst, r.depth + 1 FROM reach r JOIN edges e ON e.src = r.target LEFT JOIN recurring.reach k ON k.start = r.start AND k.target = e.dst WHERE k.start IS NULL AND e.dst <> r.start)
+        SELECT start, count(*) AS reached, max(depth) AS deepest FROM reach GROUP BY 1""",
+    "x8_prefixes": rf"WITH {_ROWS}, codes AS (SELECT DISTINCT unnest(regexp_extract_all(cell, '[0-9]{{4}}\.[0-9]{{2}}\.[0-9]{{2}}')) AS code FROM (SELECT unnest(cells) AS cell FROM cells_)) SELECT code, p_partkey, p_name FROM codes LEFT JOIN part ON left(code, 4) = lpad(p_partkey::VARCHAR, 4, '0') AND length(p_partkey::VARCHAR) <= 4",
     "x9_articles": rf"WITH {_LATEST}, said AS (SELECT DISTINCT id, unnest(regexp_extract_all(texto, 'art\. ([0-9]+) desta norma', 1)) AS n FROM latest) SELECT s.id, l.id AS target, l.path FROM said s JOIN latest l ON l.id = split_part(s.id, '--', 1) || '--art-' || s.n WHERE l.texto IS NOT NULL",
     "x10_valid_on": """WITH gone AS (SELECT id, max(removed_at) AS out_at FROM chunk_removal WHERE id IS NOT NULL GROUP BY 1), back AS (SELECT c.id, min(loaded_at) AS in_at FROM chunk c JOIN gone g ON g.id = c.id AND c.loaded_at > g.out_at GROUP BY 1)
         SELECT g.id FROM gone g LEFT JOIN back b ON b.id = g.id WHERE out_at <= '2024-01-01' AND (in_at IS NULL OR in_at > '2024-01-01')""",

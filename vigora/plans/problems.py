@@ -26,7 +26,7 @@ def p1_log(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p1_as_of(spark: SparkSession, d: str) -> DataFrame:
-    state = history.as_of(history.unit_history(table(spark, d, "chunk_snapshot")), "2025-06-15")
+    state = history.as_of(history.unit_log(table(spark, d, "chunk_snapshot")), "id", history.ATTRS, "2025-06-15")
     return state.select("id", "valid_from", "artigo", "vigente")
 
 
@@ -47,6 +47,11 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return packed.split_codes(table(spark, d, "annex_cell")).select("slug", "csv", "row_no", "pos", "code")
 
 
+def p5_codes(spark: SparkSession, d: str) -> DataFrame:
+    """Every code of the wanted columns, of cells with one code too, with the flags of its cell."""
+    return packed.split_codes(table(spark, d, "annex_cell"), at_least=1)
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return orphans.orphans(table(spark, d, "chunk"), table(spark, d, "chunk_removal"), table(spark, d, "annex_cell"))
 
@@ -56,7 +61,7 @@ def p6_report(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_versions, p1_log, p1_as_of, p2_found, p2_table, p2_schema, p5_found, p6_found, p6_report)
+    f.__name__: f for f in (p1_found, p1_versions, p1_log, p1_as_of, p2_found, p2_table, p2_schema, p5_found, p5_codes, p6_found, p6_report)
 }
 
 _P1 = r"""

@@ -33,11 +33,16 @@ def read_texts(spark: SparkSession, paths: str) -> DataFrame:
     return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
-    """``(folder, name, bytes, modified)`` of the files of a folder's direct children, without reading them."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(folder)
+def list_files(spark: SparkSession, folder: str, pattern: str = "*", skip: tuple[str, ...] = ("scripts",)) -> DataFrame:
+    """``(folder, name, bytes, modified)`` of the files in the direct children of a folder, sorted, without reading them.
+
+    Children named in ``skip`` and deeper folders are left out.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(f"{folder.rstrip('/')}/*/")
     parts = F.split("path", "/")
-    return files.select(F.element_at(parts, -2).alias("folder"), F.element_at(parts, -1).alias("name"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    child, name = F.element_at(parts, -2), F.element_at(parts, -1)
+    told = files.select(child.alias("folder"), name.alias("name"), F.col("length").alias("bytes"), F.col("modificationTime").alias("modified"))
+    return told.where(~F.col("folder").isin(*skip) if skip else F.lit(True)).orderBy("folder", "name")
 
 
 def read_binary(spark: SparkSession, paths: str) -> DataFrame:
@@ -69,9 +74,11 @@ def read_annexes(spark: SparkSession, paths: str) -> DataFrame:
     return read_texts(spark, paths).mapInArrow(run, "slug string, csv string, row_no int, header array<string>, cells array<string>")
 
 
-def read_jdbc(spark: SparkSession, url: str, query: str, **options: str) -> DataFrame:
-    """A query of an outside database; the driver's jar must be on the class path."""
-    return spark.read.format("jdbc").options(url=url, query=query, **options).load()
+def read_jdbc(spark: SparkSession, url: str, source: str, key: str, low: int, high: int, partitions: int, **options: str) -> DataFrame:
+    """A table, or a query in parentheses with a name, of an outside database, read in ranges of a numeric key; the driver's jar must be
+    on the class path. Keys outside ``low`` to ``high`` are read too, by the first and the last partition."""
+    bounds = {"partitionColumn": key, "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(partitions)}
+    return spark.read.format("jdbc").options(url=url, dbtable=source, **bounds, **options).load()
 
 
 def write_units(units: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -94,3 +101,21 @@ def rewrite(df: DataFrame, old: str, new: str) -> None:
     if old.rstrip("/") == new.rstrip("/"):
         raise ValueError("a table cannot overwrite what it is read from")
     df.write.mode("overwrite").parquet(new)
+
+
+def write_document(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Markdown documents from their rows ``(doc_id, part, place, markdown)``: a folder of text per document, its rows in order."""
+    placed = rows.repartition("doc_id").sortWithinPartitions("doc_id", "part", "place")
+    placed.select("doc_id", "markdown").write.mode(mode).partitionBy("doc_id").text(path)
+
+
+def write_annexes(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Annex tables ``(slug, csv, row_no, header, cells)`` in one folder per norm and table, rows in order."""
+    placed = rows.repartition("slug", "csv").sortWithinPartitions("slug", "csv", "row_no")
+    placed.write.mode(mode).partitionBy("slug", "csv").json(path)
+
+
+def write_manifest(head: DataFrame, records: DataFrame, path: str) -> None:
+    """A manifest: its head, and its entries as JSON lines in order of slug; null paths are kept."""
+    head.write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/head")
+    records.orderBy("slug").write.mode("overwrite").option("ignoreNullFields", False).json(f"{path}/normas")

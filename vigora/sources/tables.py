@@ -15,12 +15,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder named by ``spark.checkpoint.dir``; a local one only where that is unset (tests)."""
+    """Use the folder named by ``spark.checkpoint.dir``; where that is unset, a local one, but only on a local master."""
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isDefined():
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors can read")
         folder = tempfile.mkdtemp(prefix="vigora-checkpoint-")
         atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)

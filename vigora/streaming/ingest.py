@@ -26,9 +26,27 @@ def arrivals_per_day(stream: DataFrame, at: str = "loaded_at", late: str = "30 d
 
 
 def keep_last(stream: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
-    """Upsert by micro-batch: each batch is reduced to its last rows and written to a folder of its own epoch."""
+    """Upsert by micro-batch: each batch is reduced to its last rows and written to a folder of its own epoch.
+
+    A batch that runs again writes the same folder again. ``last_kept`` merges the epochs, ``compact`` makes one of them.
+    """
 
     def upsert(batch: DataFrame, epoch: int) -> None:
         last_delivered(batch).write.mode("overwrite").parquet(f"{folder}/epoch={epoch}")
 
     return stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def last_kept(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per id over all epochs of ``keep_last``: the last delivered; of equal times the one of the later epoch."""
+    rows = spark.read.parquet(folder)
+    cols = [c for c in rows.columns if c not in ("id", "loaded_at", "epoch")]
+    best = rows.where("id IS NOT NULL").groupBy("id").agg(F.max_by(F.struct("loaded_at", *cols), F.struct("loaded_at", "epoch")).alias("r"))
+    return best.select("id", "r.*")
+
+
+def compact(spark: SparkSession, folder: str, target: str) -> None:
+    """The merged epochs as one epoch of a new folder, from which a later stream goes on."""
+    if folder.rstrip("/") == target.rstrip("/"):
+        raise ValueError("a folder cannot be compacted onto itself")
+    last_kept(spark, folder).write.mode("overwrite").parquet(f"{target}/epoch=-1")
