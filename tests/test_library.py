@@ -170,7 +170,7 @@ def test_annex_text_in_a_unit(spark):
 
     text = "Art. 1º Texto\nlinha do anexo que é longa o bastante\nANEXO I\nlinha do anexo que é longa o bastante\noutra linha do anexo, só dele"
     lines = S.numbered_lines(spark.createDataFrame([("d", text)], "doc_id string, text string"))
-    assert [tuple(r) for r in V.annex_leaks(S.classify_law(lines), S.law_units(lines)).collect()] == [("d", 1, "linha do anexo que é longa o bastante")]
+    assert [tuple(r) for r in V.annex_leaks(S.classify_law(lines), S.law_units(lines)).collect()] == [("d", 2, 1)]
 
 
 def test_checkpoints_need_a_shared_folder_off_a_local_master():

@@ -36,6 +36,8 @@ KINDS = ("boolean", "number", "string", "list", "object")
 CHAINS = (("integer", "decimal", "double"), ("date", "timestamp"))
 DATE = r"^\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])$"
 TIMESTAMP = r"^\d{4}-(?:0[1-9]|1[0-2])-(?:0[1-9]|[12]\d|3[01])[T ](?:[01]\d|2[0-3]):[0-5]\d(?::[0-5]\d(?:\.\d{1,6})?)?$"
+#: Most changing files (some names each) that are sent to every executor.
+BROADCAST_FILES = 100_000
 #: Types of the lattice as they stand in a table.
 SQL_TYPES = {"integer": "bigint", "decimal": "decimal(38,10)", "double": "double", "date": "date", "timestamp": "timestamp_ntz", "boolean": "boolean", "string": "string", "object": "variant"}
 
@@ -148,20 +150,20 @@ def renames(recs: DataFrame, header: DataFrame, share: float = 0.8) -> DataFrame
     the best of both its fields (then the first by name).
     """
     changed = cut_lineage(files_of(header))
-    keyed = recs.where(F.col("rec_key").isNotNull())
-    read = lambda plan, names: F.transform(
-        F.filter(fields_of(F.col("body")), lambda e: F.array_contains(names, e["key"])),
+    part = lambda at, names, role: changed.select("feed", F.col(at).alias("file_no"), F.struct(F.col("file_no").alias("to"), F.col(names).alias("names"), F.lit(role).alias("role")).alias("p"))
+    parts = part("prev_no", "went", 0).unionByName(part("file_no", "came", 1)).groupBy("feed", "file_no").agg(F.collect_list("p").alias("parts"))
+    if changed.count() <= BROADCAST_FILES:  # beyond it, records are exchanged by file
+        parts = F.broadcast(parts)
+    keyed = recs.where(F.col("rec_key").isNotNull()).join(parts, ["feed", "file_no"])
+    each_part = keyed.select("feed", "rec_key", "delivered_at", "line_no", "rec_id", "body", F.explode("parts").alias("p"))
+    cells_of = F.transform(
+        F.filter(fields_of(F.col("body")), lambda e: F.array_contains(F.col("p.names"), e["key"])),
         lambda e: F.struct(e["key"].alias("f"), F.when(F.schema_of_variant(e["value"]) != "VOID", F.xxhash64(F.to_json(e["value"]))).alias("h")),
     )
-    last = F.max(F.struct("delivered_at", "line_no", "rec_id", "cells"))
-
-    def side(at: str, names: str) -> DataFrame:
-        """The last delivered record of each key of the files in question, with the fields in question."""
-        plan = changed.select("feed", F.col(at).alias("file_no"), F.col("file_no").alias("_to"), F.col(names).alias("_names"))
-        placed = keyed.join(plan, ["feed", "file_no"]).select("feed", "_to", "rec_key", "delivered_at", "line_no", "rec_id", read(plan, F.col("_names")).alias("cells"))
-        return placed.groupBy("feed", "_to", "rec_key").agg(last.alias("r")).select("feed", F.col("_to").alias("file_no"), "rec_key", F.col("r.cells").alias(names))
-
-    both = side("prev_no", "went").join(side("file_no", "came"), ["feed", "file_no", "rec_key"])
+    placed = each_part.select("feed", F.col("p.to").alias("file_no"), "rec_key", F.col("p.role").alias("role"), F.struct("delivered_at", "line_no", "rec_id", cells_of.alias("cells")).alias("r"))
+    last = lambda role: F.max(F.when(F.col("role") == role, F.col("r")))
+    met = placed.groupBy("feed", "file_no", "rec_key").agg(last(0).alias("o"), last(1).alias("n")).where("o IS NOT NULL AND n IS NOT NULL")
+    both = met.select("feed", "file_no", F.col("o.cells").alias("went"), F.col("n.cells").alias("came"))
     was = F.filter("went", lambda o: o["h"].isNotNull())
     said = changed.select("feed", "file_no", F.col("came").alias("_came"))
     met = both.select("feed", "file_no", "came", F.explode(was).alias("o")).join(said, ["feed", "file_no"])
@@ -263,7 +265,7 @@ def union_schema(lines: DataFrame) -> DataFrame:
 
 
 def typed_text(value: Column, to: Column) -> Column:
-    """A variant as the text of its union type: a string as it is, everything else as JSON."""
+    """A variant as the text of its union type: a string as it is, everything else as JSON, keys of an object in order, numbers without trailing zeros."""
     plain = F.try_variant_get(value, "$", "string")
     return F.when((to == "string") & F.schema_of_variant(value).isin("STRING"), plain).when(to.isin("date", "timestamp"), plain).otherwise(F.to_json(value))
 

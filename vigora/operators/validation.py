@@ -60,8 +60,9 @@ def sanity(metas: DataFrame, least: int = 1) -> DataFrame:
     return norms.select("identificador", F.explode(problems).alias("problem"))
 
 
-def annex_leaks(lines: DataFrame, units: DataFrame) -> DataFrame:
-    """``(doc_id, pos, line)``: lines of a document's annexes (``lines`` as told by the law dialect) that also stand in the text of a unit."""
-    skipped = lines.where((F.col("kind") == "skipped") & (F.length("line") >= 20)).select("doc_id", "line").distinct()
-    said = units.select("doc_id", "pos", F.explode(F.split("texto", "\n", -1)).alias("line"))
-    return said.join(skipped, ["doc_id", "line"], "left_semi").select("doc_id", "pos", "line").distinct()
+def annex_leaks(lines: DataFrame, units: DataFrame, least: int = 20) -> DataFrame:
+    """``(doc_id, annex_lines, leaked)``: of a document's distinct annex lines of ``least`` characters (``lines`` as told by the law dialect), how many also stand in a unit."""
+    skipped = lines.where((F.col("kind") == "skipped") & (F.length("line") >= least)).select("doc_id", "line").distinct()
+    said = units.select("doc_id", F.explode(F.split("texto", "\n", -1)).alias("line")).distinct().withColumn("_leaked", F.lit(1))
+    both = skipped.join(said, ["doc_id", "line"], "left")
+    return both.groupBy("doc_id").agg(F.count("*").alias("annex_lines"), F.count("_leaked").alias("leaked"))

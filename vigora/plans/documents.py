@@ -680,6 +680,6 @@ ORACLE: dict[str, str] = {
     "accounting_documents": f"WITH {_ITEM_UNITS}, " + _document("tipo = 'CPC'", f"concat_ws(chr(10), {_FRONT(_ITEM_FRONT)} || chr(10), '# ' || identificador || ' — ' || coalesce(titulo, identificador) || chr(10), {_QUOTE('correlacao_ifrs', '**Correlação:** ')}, {_QUOTE('ementa')})",
         f"""CASE WHEN secao IS DISTINCT FROM was THEN chr(10) || '## ' || secao || chr(10) || chr(10) ELSE '' END || chr(10) || '<a id="item-' || lower(numero) || {_EARLIER} || '"></a>' || chr(10) || {_strip("CASE WHEN vigente THEN '**' || numero || '.** ' || md ELSE '> _(Item ' || numero || ' — redação anterior, superada por revisão)_  ' || chr(10) || '> ' || md END")}
             FROM (SELECT *, lag(secao) OVER (PARTITION BY doc_id ORDER BY pos) AS was FROM units) WHERE true"""),
-    "v7_annex_leaks": f"WITH {_LAW_UNITS}, said AS (SELECT doc_id, pos, unnest(string_split(texto, chr(10))) AS line FROM units) SELECT DISTINCT s.doc_id, s.pos, s.line FROM said s JOIN kinds k ON k.doc_id = s.doc_id AND k.line = s.line WHERE k.kind = 'skipped' AND length(k.line) >= 20",
+    "v7_annex_leaks": f"WITH {_LAW_UNITS}, skipped AS (SELECT DISTINCT doc_id, line FROM kinds WHERE kind = 'skipped' AND length(line) >= 20), said AS (SELECT DISTINCT doc_id, unnest(string_split(texto, chr(10))) AS line FROM units) SELECT k.doc_id, count(*) AS annex_lines, count(s.line) AS leaked FROM skipped k LEFT JOIN said s ON s.doc_id = k.doc_id AND s.line = k.line GROUP BY 1",
     "v5_front_matter": f"WITH {_LAW_UNITS}, {_LAW_META} SELECT m.doc_id AS slug, m.identificador AS said, n.identificador FROM metas m JOIN norms n ON n.slug = m.doc_id WHERE m.identificador <> n.identificador",
 }

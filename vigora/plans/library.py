@@ -374,3 +374,7 @@ ORACLE |= {
         UNION ALL SELECT identificador, 'few units' FROM norms WHERE coalesce(n_artigos, n_itens) < 1""",
 }
 ORACLE["x21_state_at"] = _P1 + "SELECT vigente, count(*) AS n FROM history WHERE valid_from <= '2025-09-01' AND valid_to > '2025-09-01' GROUP BY 1"
+ORACLE["x19_router"] = r"""WITH t AS (SELECT DISTINCT a AS skill, regexp_replace(split_part(a, '-', 1), 'io$', '') AS trigger, length(a) AS priority FROM (SELECT unnest(assunto) AS a FROM tax_catalog) WHERE a <> ''),
+    s AS (SELECT doc_id, skill, priority, contains(lower(coalesce(text, '')), lower(trigger))::BIGINT AS hits FROM documents, t),
+    b AS (SELECT doc_id, max(struct_pack(h := hits, o := -priority, s := skill)) AS b FROM s GROUP BY 1)
+    SELECT doc_id, b.s AS skill, b.h AS hits FROM b WHERE b.h > 0"""

@@ -166,3 +166,43 @@ SELECT slug, csv, row_no, pos, regexp_extract(m, '^[0-9.]+') || CASE WHEN regexp
 """
 
 ORACLE |= {"p2_found": _P2, "p5_found": _P5}
+
+_LOG = _P1.split("marked AS (")[0] + """ev AS (
+  SELECT *, due IS DISTINCT FROM "at" AS fresh, lag(artigo) OVER w IS DISTINCT FROM artigo AS ca, lag(vigente) OVER w IS DISTINCT FROM vigente AS cv, lag(notas) OVER w IS DISTINCT FROM notas AS cn
+  FROM filled WINDOW w AS (PARTITION BY id ORDER BY "at")),
+lives AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY id ORDER BY "at") AS life, ca OR cv OR cn AS differs FROM ev),
+nth AS (SELECT *, sum((NOT fresh AND differs)::INT) OVER (PARTITION BY id, life ORDER BY "at") AS n FROM lives),
+entries AS (SELECT *, fresh OR n % 4 = 0 AS whole FROM nth WHERE fresh OR differs)
+SELECT id, strftime("at", '%Y-%m-%d') AS "at", CASE WHEN whole THEN 'full' ELSE 'patch' END AS kind,
+  CASE WHEN whole THEN 'artigo,vigente,notas' ELSE concat_ws(',', CASE WHEN ca THEN 'artigo' END, CASE WHEN cv THEN 'vigente' END, CASE WHEN cn THEN 'notas' END) END AS changed FROM entries
+UNION ALL SELECT id, strftime(next_at, '%Y-%m-%d'), 'end', '' FROM filled WHERE next_at IS NOT NULL AND lead_at IS DISTINCT FROM next_at
+"""
+_SCALAR = lambda kind, text: f"""CASE {kind} WHEN 'NULL' THEN NULL WHEN 'BOOLEAN' THEN 'boolean' WHEN 'OBJECT' THEN 'object' WHEN 'DOUBLE' THEN 'decimal' WHEN 'ARRAY' THEN 'string' WHEN 'VARCHAR' THEN
+  CASE WHEN regexp_matches({text}, '^[0-9]{{4}}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])$') THEN 'date'
+    WHEN regexp_matches({text}, '^[0-9]{{4}}-(0[1-9]|1[0-2])-(0[1-9]|[12][0-9]|3[01])[T ]([01][0-9]|2[0-3]):[0-5][0-9](:[0-5][0-9](\\.[0-9]{{1,6}})?)?$') THEN 'timestamp' ELSE 'string' END ELSE 'integer' END"""
+_BOUND = lambda c: f"""CASE WHEN len({c}) = 0 THEN 'string' WHEN len({c}) = 1 THEN {c}[1] WHEN len(list_filter({c}, lambda x: x NOT IN ('integer', 'decimal', 'double'))) = 0 THEN CASE WHEN list_contains({c}, 'double') THEN 'double' ELSE 'decimal' END
+  WHEN len(list_filter({c}, lambda x: x NOT IN ('date', 'timestamp'))) = 0 THEN 'timestamp' ELSE 'string' END"""
+_TYPES = "list_distinct(list_filter(list_transform(json_extract(v, '$[*]'), lambda x: " + _SCALAR("json_type(x)", "json_extract_string(x, '$')") + "), lambda x: x IS NOT NULL))"
+_LINEAGE = _P2.split("typed AS (")[0].replace("WITH valid", "WITH RECURSIVE valid") + f"""
+each_ AS (SELECT v.rec_id, v.feed, v.file_no, v.line_no, coalesce(v.body ->> '$.ITEM', v.body ->> '$.id') AS rec_key, e.key AS field, e.type AS jt, e.value AS v FROM valid v, json_each(v.body) e),
+lattice AS (SELECT *, CASE WHEN jt = 'ARRAY' THEN 'list<' || {_BOUND(_TYPES)} || '>' ELSE {_SCALAR('jt', "json_extract_string(v, '$')")} END AS type FROM each_),
+types AS (SELECT feed, file_no, field, list_distinct(list(type) FILTER (type IS NOT NULL)) AS types FROM lattice GROUP BY 1, 2, 3),
+known AS (SELECT h.feed, h.file_no, h.field, r.old, f.prev_no, lag(h.file_no) OVER (PARTITION BY h.feed, h.field ORDER BY h.file_no) AS last_no FROM header h JOIN files f ON f.feed = h.feed AND f.file_no = h.file_no
+  LEFT JOIN renamed r ON r.feed = h.feed AND r.file_no = h.file_no AND r.field = h.field),
+away AS (SELECT r.feed, f.prev_no AS last_no, r.old AS field FROM renamed r JOIN files f ON f.feed = r.feed AND f.file_no = r.file_no),
+before AS (SELECT k.feed, k.file_no, k.field, CASE WHEN k.old IS NOT NULL THEN k.prev_no WHEN a.field IS NULL THEN k.last_no END AS pred_no, coalesce(k.old, k.field) AS pred_field
+  FROM known k LEFT JOIN away a ON a.feed = k.feed AND a.last_no = k.last_no AND a.field = k.field),
+line AS (SELECT feed, file_no, field, file_no || ':' || field AS lineage FROM before WHERE pred_no IS NULL
+  UNION ALL SELECT b.feed, b.file_no, b.field, l.lineage FROM before b JOIN line l ON l.feed = b.feed AND l.file_no = b.pred_no AND l.field = b.pred_field),
+bounds AS (SELECT l.feed, l.lineage, max(struct_pack(n := l.file_no, f := l.field)) AS last_, list_distinct(flatten(list(coalesce(t.types, [])))) AS ts FROM line l JOIN types t ON t.feed = l.feed AND t.file_no = l.file_no AND t.field = l.field GROUP BY 1, 2),
+schema_ AS (SELECT feed, lineage, CASE WHEN row_number() OVER (PARTITION BY feed, last_.f ORDER BY last_.n DESC, lineage) = 1 THEN last_.f ELSE last_.f || '@' || lineage END AS name,
+  CASE WHEN len(ts) > 0 AND len(list_filter(ts, lambda x: x NOT LIKE 'list<%')) = 0 THEN 'list<' || {_BOUND("list_distinct(list_transform(ts, lambda x: regexp_extract(x, '^list<(.*)>$', 1)))")} || '>' ELSE {_BOUND('ts')} END AS kind FROM bounds)
+"""
+ORACLE |= {
+    "p1_log": _LOG,
+    "p2_schema": _LINEAGE + "SELECT feed, name, kind FROM schema_",
+    "p2_table": _LINEAGE + """SELECT e.rec_id, e.feed, e.file_no, e.line_no, e.rec_key, s.name, s.kind, CASE WHEN jt = 'NULL' THEN NULL WHEN (s.kind = 'string' AND jt = 'VARCHAR') OR s.kind IN ('date', 'timestamp') THEN json_extract_string(v, '$')
+          WHEN jt = 'DOUBLE' THEN regexp_replace(regexp_replace(json(v)::VARCHAR, '(\\.[0-9]*[1-9])0+$', '\\1'), '\\.0+$', '')
+          WHEN jt = 'OBJECT' THEN '{' || array_to_string(list_transform(list_sort(json_keys(v)), lambda k: to_json(k)::VARCHAR || ':' || json(json_extract(v, '$."' || k || '"'))::VARCHAR), ',') || '}' ELSE json(v)::VARCHAR END AS value
+        FROM each_ e JOIN line l ON l.feed = e.feed AND l.file_no = e.file_no AND l.field = e.field JOIN schema_ s ON s.feed = l.feed AND s.lineage = l.lineage""",
+}
