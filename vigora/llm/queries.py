@@ -32,6 +32,11 @@ def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
     return splitting.oversized(table(spark, d, "chunk").select("id", "texto").distinct(), "id", "texto")
 
 
+def p4_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """Per oversized text the MD5 of its pieces joined without their overlaps, and whether all pieces keep the limit and the overlap."""
+    return splitting.rejoined(p4_pieces(spark, d), "id")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return splitting.oversized(table(spark, d, "chunk"), "id", "texto").select("id").distinct()
 
@@ -57,9 +62,14 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return p9_scores(spark, d).where("spam").select("doc_id").distinct()
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p4_found, p4_pieces, p7_ids, p8_mix, p8_shares, p9_found, p9_scores)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (p3_found, p3_groups, p4_found, p4_pieces, p4_roundtrip, p7_ids, p8_mix, p8_shares, p9_found, p9_scores)}
 
 ORACLE: dict[str, str] = {
+    "p4_roundtrip": r"""
+        WITH t AS (SELECT DISTINCT id, regexp_replace(regexp_replace(regexp_replace(texto, '^[ \t\n\r\x{00a0}]+|[ \t\n\r\x{00a0}]+$', '', 'g'),
+          '[ \t\x{00a0}]*[\n\r][ \t\n\r\x{00a0}]*', chr(10), 'g'), '[ \t\x{00a0}]+', ' ', 'g') AS whole FROM chunk WHERE id IS NOT NULL)
+        SELECT id, md5(whole) AS whole, true AS kept FROM t WHERE length(whole) > 2400
+    """,
     "p4_found": r"""
         SELECT DISTINCT id FROM chunk
         WHERE length(regexp_replace(regexp_replace(texto, '[ \t\n\r\x{00a0}]+', ' ', 'g'), '^ | $', '', 'g')) > 2400

@@ -146,3 +146,14 @@ def oversized(docs: DataFrame, key: str, text: str, limit: int = LIMIT, overlap:
     """Pieces of the texts above the limit; only texts of more raw characters than the limit reach Python."""
     pieces = split_texts(docs.where(F.length(text) > limit), key, text, limit, overlap)
     return pieces.where((F.col("piece_no") > 1) | (F.col("boundary") != "end"))
+
+
+def rejoined(pieces: DataFrame, key: str, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """``(key, whole, kept)``: MD5 of the pieces of each text joined without their overlaps; whether every piece keeps the limit and the overlap.
+
+    A text is gathered again, as it was before it was cut. Keys stand for one text each; rows of a null key are left out.
+    """
+    fresh = F.struct("piece_no", F.expr("substring(piece, overlap + 1)").alias("t"))
+    fits = (F.length("piece") <= limit) & F.col("overlap").between(0, overlap) & (F.length("piece") == F.col("end") - F.col("start"))
+    each = pieces.where(F.col(key).isNotNull()).groupBy(key).agg(F.array_sort(F.collect_list(fresh)).alias("l"), F.min(fits).alias("kept"))
+    return each.select(key, F.md5(F.array_join(F.transform("l", lambda x: x["t"]), "")).alias("whole"), "kept")
