@@ -178,6 +178,14 @@ BLOCK_TITLES = ("Principios Gerais", "Avaliacao de Riscos", "Evidencia", "Trabal
 MOVED = {"ITG 1000": 2}
 
 
+def regrouped(codigo: Column, familia: Column, moved: dict[str, str]) -> Column:
+    """Group of an entry: the one its code is moved to, else its family."""
+    out = F.when(F.lit(False), familia)
+    for code, group in moved.items():
+        out = out.when(codigo == code, group)
+    return out.otherwise(familia)
+
+
 def section_of(codigo: Column, familia: Column, moved: dict[str, int] | None = None) -> Column:
     """Number of the section of an entry: its code's own, else its family's; null for a family without section."""
     out = F.when(F.lit(False), F.lit(0))

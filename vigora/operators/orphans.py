@@ -60,7 +60,7 @@ def references(chunks: DataFrame, removals: DataFrame) -> tuple[DataFrame, DataF
 
 
 def encode_keys(keys: DataFrame, ranges: int) -> DataFrame:
-    """Dictionary ``(ref_table, target, key_range, code)``; the same keys get the same codes in every run."""
+    """Dictionary ``(ref_table, target, key_range, code)``; the same keys in the same number of ranges get the same codes."""
     distinct = keys.select("ref_table", "target").distinct()
     ranged = distinct.withColumn("key_range", F.pmod(F.xxhash64("ref_table", "target"), F.lit(ranges)).cast("int"))
     order = W.partitionBy("key_range").orderBy("target", "ref_table")

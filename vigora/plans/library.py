@@ -126,9 +126,7 @@ def c11_blocks(spark: SparkSession, d: str) -> DataFrame:
 
 def c12_exceptions(spark: SparkSession, d: str) -> DataFrame:
     """Codes of a family, one code moved out of it into another group."""
-    entries = _catalog(spark, d).select("codigo", "familia")
-    moved = F.col("codigo") == "LC 19999/2023"
-    return entries.select("codigo", F.when(moved, "apart").otherwise(F.col("familia")).alias("group"))
+    return _catalog(spark, d).select("codigo", C.regrouped(F.col("codigo"), F.col("familia"), {"LC 19999/2023": "apart"}).alias("group"))
 
 
 def c9_accounting_catalog(spark: SparkSession, d: str) -> DataFrame:
