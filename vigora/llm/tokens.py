@@ -1,8 +1,8 @@
 """Encoding texts with a public byte-level BPE vocabulary through tiktoken.
 
 The rank file is read on each executor once (its path is a parameter). Texts are cut before encoding
-where the splitting pattern is sure to cut as well, so no call meets a text of unbounded length and the
-ids stay those of the whole text; the ids of short pieces are kept by the worker, as most recur.
+where the splitting pattern is sure to cut as well, so calls meet short pieces and the ids stay those of the whole
+text; a run without any such place passes uncut. The ids of short pieces are kept by the worker, as most recur.
 
 Defined results
 ---------------
