@@ -45,8 +45,8 @@ def manifest_entries(metas: DataFrame, annexes: DataFrame, chunks: DataFrame) ->
     ).orderBy("slug")
 
 
-#: Fixed value: what a manifest says of itself.
-DESCRIPTION = "Base de legislacao contabil/tributaria para consulta pela skill contador (RAG)."
+#: What a manifest says of itself, if nothing else is given.
+DESCRIPTION = "Base de legislacao contabil/tributaria para consulta."
 
 
 def manifest_head(entries: DataFrame, made_on: str, description: str = DESCRIPTION) -> DataFrame:

@@ -313,7 +313,7 @@ ORACLE: dict[str, str] = {
         SELECT slug, csv, sum((NOT goes_on)::INT) OVER (PARTITION BY slug ORDER BY csv) AS table_no FROM marked""",
     "t8_code_lookup": rf"WITH {_ROWS} SELECT DISTINCT unnest(regexp_extract_all(cell, '[0-9]{{4}}\.[0-9]{{2}}\.[0-9]{{2}}')) AS code, slug, csv, row_no FROM (SELECT slug, csv, row_no, unnest(cells) AS cell FROM cells_)",
     "m1_manifest": f"WITH {_MANIFEST} SELECT * FROM entries",
-    "m4_manifest_head": f"WITH {_MANIFEST} SELECT '1.0' AS schema_version, 'Base de legislacao contabil/tributaria para consulta pela skill contador (RAG).' AS descricao, '2025-12-31' AS gerado_em, count(*) AS total_normas, sum(n_artigos_vigentes)::BIGINT AS vigentes, sum(n_anexos)::BIGINT AS anexos FROM entries",
+    "m4_manifest_head": f"WITH {_MANIFEST} SELECT '1.0' AS schema_version, 'Base de legislacao contabil/tributaria para consulta.' AS descricao, '2025-12-31' AS gerado_em, count(*) AS total_normas, sum(n_artigos_vigentes)::BIGINT AS vigentes, sum(n_anexos)::BIGINT AS anexos FROM entries",
     "c1_code_keys": f"SELECT DISTINCT identificador, {_KEY('identificador')} AS key FROM norm_meta",
     "c2_flip": f"WITH {_FLIP} SELECT target, codigo, outcome FROM flips",
     "c2_flipped": f"WITH {_FLIP} SELECT c.codigo, CASE WHEN f.codigo IS NOT NULL THEN true ELSE no_repo END AS no_repo FROM cat c LEFT JOIN (SELECT DISTINCT codigo FROM flips WHERE outcome = 'found') f ON f.codigo = c.codigo",
