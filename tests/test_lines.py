@@ -88,6 +88,16 @@ def test_titles(spark):
     assert one(spark, text, lambda c: L.merge_titles(L.split_lines(c))) == "FLUXOS DE CAIXA DE INVESTIMENTO\ntext\nMODELOS\nx\nÚNICO\n\nOUTRO."
 
 
+def test_capitals_of_any_length(spark):
+    """A line in capitals, joined from many titles or spaced or long by itself, is read without a stack that grows with it."""
+    title, spaced = "FLUXOS DE CAIXA - PARTE", "A " * 9_000 + "B"
+    ends = [f"({c}) x." for c in "abcdef"]
+    pages = [(doc, 1, "\n".join([*ends[:3], *middle, *ends[3:]])) for doc, middle in (("d", [title] * 900), ("e", [spaced]), ("f", [spaced + "b"]))]
+    got = whole(L.clean_lines(spark.createDataFrame(pages, "doc_id string, page_no int, text string"), D.ACCOUNTING).collect())
+    read = {"d": " ".join([title] * 900), "e": "A" * 9_000 + "B", "f": spaced + "b"}
+    assert got == {doc: "\n".join([*ends[:3], line, *ends[3:]]) for doc, line in read.items()}
+
+
 def test_tidy_noise_and_recognition(spark):
     assert one(spark, "  a \t b\n\n\n\nc  ", L.tidy) == "a b\n\nc"
     noise = lambda c: F.transform(F.split(c, r"\|"), lambda x: L.is_noise(x, D.LAW_NOISE))

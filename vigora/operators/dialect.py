@@ -10,8 +10,9 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 #: Unicode white space and line ends.
-S = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-NOT_S = r"[^\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+INSIDE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+S = f"[{INSIDE}]"
+NOT_S = f"[^{INSIDE}]"
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 BREAK = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 END = r"(?:[^\p{L}\p{N}_]|$)"
@@ -52,8 +53,9 @@ LAW_START = (
     rf"^{S}*(?:LIVRO|T[ÍI]TULO|CAP[ÍI]TULO|SE[ÇC][ÃA]O|SUBSE[ÇC][ÃA]O|Art\.?{S}*\d|Artigo{S}*\d|§{S}*\d"
     rf"|Par[áa]grafo{S}+[úu]nico|[IVXLCDM]{{1,6}}{S}*[-–—]{S}|[a-z]\){S}|\d{{1,2}}\){S})"
 )
+# a line in capitals has no greatest length: it is read by one class, as Java's engine takes stack for each turn of a group
 ACCOUNTING_START = (
-    rf"^{S}*(?:[{CAPS}](?:[{CAPS}\-]|{S}){{3,}}{S}*$|AP[ÊE]NDICE{S}+[A-Z]|\d+[A-Z]?\.{S}|[A-Z]\d+[A-Z]?\.{S}|\([a-z]\){S})"
+    rf"^{S}*(?:[{CAPS}][{CAPS}\-{INSIDE}]{{3,}}$|AP[ÊE]NDICE{S}+[A-Z]|\d+[A-Z]?\.{S}|[A-Z]\d+[A-Z]?\.{S}|\([a-z]\){S})"
 )
 LEVELS = {
     "LIVRO": 1, "TÍTULO": 2, "TITULO": 2, "CAPÍTULO": 3, "CAPITULO": 3,

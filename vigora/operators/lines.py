@@ -83,7 +83,8 @@ def merge_orphans(text: Column) -> Column:
 
 
 TITLE = rf"^[{D.CAPS}](?:[{D.CAPS}0-9\-]|{D.S}){{2,79}}$"
-SPACED_TITLE = rf"^(?:[{D.CAPS}]{D.S}+){{2,}}[{D.CAPS}]$"
+#: Possessive, since a line has no greatest length and each turn of a group that may go back takes stack; it never has to.
+SPACED_TITLE = rf"^(?:[{D.CAPS}]{D.S}+){{2,}}+[{D.CAPS}]$"
 
 
 def merge_titles(lines: Column) -> Column:
